@@ -4,6 +4,8 @@ No join carries a broadcast hint. Reference tables are broadcast when their size
 files or measured at run time, is under the session's threshold, and are shuffled otherwise.
 """
 
+from __future__ import annotations
+
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -53,8 +55,13 @@ def name_parameters(results: DataFrame, test_parameter: DataFrame, how: str = "l
     return results.join(names, "commercial_parameter_code", how)
 
 
-def restrict_to_mapped(results: DataFrame, tables: Tables) -> DataFrame:
-    """Keeps results whose item and parameter are known and mapped to each other, and names them."""
+def restrict_to_mapped(
+    results: DataFrame, tables: Tables, test_parameter: DataFrame | None = None
+) -> DataFrame:
+    """Keeps results whose item and parameter are known and mapped to each other, and names them.
+
+    ``test_parameter`` may be a part of the table of that name, to keep those parameters only.
+    """
     items = tables["commercial_item"].withColumnRenamed("commercial_item_code", "commercial_item")
     mapped = tables["commercial_item_test_parameter_map"].select(
         F.col("commercial_item_id").alias("commercial_item"),
@@ -62,7 +69,8 @@ def restrict_to_mapped(results: DataFrame, tables: Tables) -> DataFrame:
     )
     allowed = mapped.join(items, "commercial_item", "left_semi")
     kept = results.join(allowed, ["commercial_item", "commercial_parameter_code"], "left_semi")
-    return name_parameters(kept, tables["test_parameter"], "inner")
+    names = tables["test_parameter"] if test_parameter is None else test_parameter
+    return name_parameters(kept, names, "inner")
 
 
 def group_members(tables: Tables) -> DataFrame:

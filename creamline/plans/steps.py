@@ -73,10 +73,11 @@ def mapped_results(
     lines = optional_filters(finished_lines(tables, window, rules), state=state)
     if required:
         lines = require_columns(lines, required)
+    parameters = tables["test_parameter"]
     if only is not None:
-        named = tables["test_parameter"].filter(text_in(F.col("test_parameter_name"), only))
-        tables = {**tables, "test_parameter": named}
-    return restrict_to_mapped(enrich_results(results_until(tables, window), lines), tables)
+        parameters = parameters.filter(text_in(F.col("test_parameter_name"), only))
+    results = enrich_results(results_until(tables, window), lines)
+    return restrict_to_mapped(results, tables, parameters)
 
 
 def with_technician(

@@ -8,6 +8,8 @@ only the list of order lines needs an aggregation, since a package occurs severa
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,17 @@ ITEMS = ("MVPQVP1", "MVPQVP2", "MVPQVP8", "MVPQVPG", "EXTRA5", "EXTRA6", "EXTRA7
 STATES = ("IA", "MN", "WI", "TN", "MO")
 
 
+_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+                " l_quantity double, l_returnflag string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
+
 def _pick(values: tuple[str, ...], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), position.cast("int"))
 
@@ -51,46 +64,60 @@ def _spread(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
+class _OnDemand(dict):
+    """Tables by name, each defined when first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._builders[name]()
+        return self[name]
+
+
 def lab_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    customer, nation, orders = read("customer"), read("nation"), read("orders")
-    lineitem = read("lineitem")
     mapped = [
         (item, parameter)
         for i, item in enumerate(ITEMS, 1)
         for n, parameter in enumerate(PARAMETERS)
         if (i + n) % 6
     ]
-    return {
-        "reportable_result": _results(_spread(lineitem)),
-        "commercial_order_line": _order_lines(lineitem, orders, customer),
-        "sample": _samples(orders),
-        "commercial_order": nation.select(
+    return _OnDemand({
+        "reportable_result": lambda: _results(_spread(read("lineitem"))),
+        "commercial_order_line": lambda: _order_lines(
+            read("lineitem"), read("orders"), read("customer")
+        ),
+        "sample": lambda: _samples(read("orders")),
+        "commercial_order": lambda: read("nation").select(
             F.col("n_nationkey").cast("bigint").alias("id"),
             F.col("n_nationkey").cast("bigint").alias("customer_framework_id"),
             F.concat(F.lit("CO-"), "n_nationkey").alias("commercial_order_code"),
         ),
-        "customer_framework": nation.select(
+        "customer_framework": lambda: read("nation").select(
             F.col("n_nationkey").cast("bigint").alias("id"),
             F.col("n_name").alias("internal_name"),
             F.concat(F.lit("ASC"), "n_nationkey").alias("customer_code"),
         ),
-        "producer": _producers(customer, nation),
-        "producer_list": _memberships(customer),
-        "producer_group": _groups(spark, customer),
-        "result_set": read("supplier").select(
+        "producer": lambda: _producers(read("customer"), read("nation")),
+        "producer_list": lambda: _memberships(read("customer")),
+        "producer_group": lambda: _groups(spark, read("customer")),
+        "result_set": lambda: read("supplier").select(
             F.col("s_suppkey").alias("sequence_number"), F.col("s_name").alias("operator_code")
         ),
-        "commercial_item": _inline(spark, "commercial_item_code", [(i,) for i in ITEMS[:-1]]),
-        "commercial_item_test_parameter_map": _inline(
+        "commercial_item": lambda: _inline(
+            spark, "commercial_item_code", [(i,) for i in ITEMS[:-1]]
+        ),
+        "commercial_item_test_parameter_map": lambda: _inline(
             spark, "commercial_item_id, test_parameter_code", mapped
         ),
-        "test_parameter": _inline(
+        "test_parameter": lambda: _inline(
             spark, "test_parameter_code, test_parameter_name", list(PARAMETERS.items())
         ),
-    }
+    })
 
 
 def _results(lineitem: DataFrame) -> DataFrame:
