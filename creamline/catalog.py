@@ -217,7 +217,8 @@ _MAPPED = """mapped AS (
       count(*) AS results, count(DISTINCT bar_code) AS samples
     FROM mapped GROUP BY item, param, name""", _MAPPED))
 def _(t):
-    rows = joins.restrict_to_mapped(joins.enrich_results(t["reportable_result"], _lines(t)), t)
+    named = joins.name_parameters(t["reportable_result"], t["test_parameter"], "inner")
+    rows = joins.restrict_to_mapped(joins.enrich_results(named, _lines(t)), t)
     return rows.groupBy(
         "commercial_item", "commercial_parameter_code", "test_parameter_name"
     ).agg(F.count(F.lit(1)).alias("results"), F.countDistinct("bar_code").alias("samples"))
@@ -295,9 +296,9 @@ SAMPLE_LABELS = ["Bacteria Count", "Delvo Inhibitor", "Somatic cells", "Freezing
 
 def _wide(t) -> DataFrame:
     """One row per completed line with coded measures."""
-    named = joins.name_parameters(t["reportable_result"], t["test_parameter"])
     by_line = pivots.pivot_by_line(
-        named, SAMPLE_LABELS, coding.code_results(F.col("aggregated_value")), {}
+        t["reportable_result"], t["test_parameter"], SAMPLE_LABELS,
+        coding.code_results(F.col("aggregated_value")), {},
     )
     rows = official_plan.sample_columns(_lines(t), "chr_number")
     return joins.enrich_results(by_line, rows)
@@ -631,9 +632,10 @@ def _(t):
         max(CASE WHEN param = 'P009' THEN value END) AS snf FROM rr GROUP BY line_id))
     WHERE fat IS NOT NULL"""))
 def _(t):
-    named = joins.name_parameters(t["reportable_result"], t["test_parameter"])
     labels = ["Fat", "Solids not fat (SNF)"]
-    by_line = pivots.pivot_by_line(named, labels, F.col("aggregated_value"), {})
+    by_line = pivots.pivot_by_line(
+        t["reportable_result"], t["test_parameter"], labels, F.col("aggregated_value"), {}
+    )
     pairs = by_line.select(F.col("Fat").alias("fat"), F.col(labels[1]).alias("snf")).distinct()
     fat, snf = F.col("fat"), F.col("snf")
     return pairs.filter(fat.isNotNull()).select(

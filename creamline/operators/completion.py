@@ -9,26 +9,29 @@ from creamline.functions.dates import ReportWindow
 from creamline.functions.text import same_text
 
 
-def completed_in_window(
-    results: DataFrame,
-    lines: DataFrame,
-    window: ReportWindow,
-    status: str | None = None,
-) -> DataFrame:
-    """Order lines whose last validation falls inside the window.
+def completions(results: DataFrame, window: ReportWindow) -> DataFrame:
+    """Order line ids (``id``) whose last validation falls inside the window.
 
     Results from before the start cannot be a line's last one inside the window, so that bound goes
-    to the scan. Results after the end stay: they are what disqualifies a line. Only then are the
-    few surviving lines matched with ``lines``.
+    to the scan. Results after the end stay: they are what disqualifies a line.
     """
     stamp = F.col("result_validation_date")
-    last = (
+    return (
         results.filter(window.after_start(stamp))
         .groupBy(F.col("commercial_order_line_id").alias("id"))
         .agg(F.max(stamp).alias("completed_at"))
         .filter(window.before_end(F.col("completed_at")))
     )
-    return with_status(lines, status).join(last, "id")
+
+
+def completed_in_window(
+    results: DataFrame,
+    lines: DataFrame,
+    window: ReportWindow,
+    status: str | None = None,
+) -> DataFrame:
+    """Order lines completed in the window. Results are reduced to lines before the join."""
+    return with_status(lines, status).join(completions(results, window), "id")
 
 
 def with_status(lines: DataFrame, status: str | None) -> DataFrame:

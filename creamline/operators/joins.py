@@ -49,28 +49,39 @@ def facts(results: DataFrame) -> DataFrame:
     return results.hint("merge")
 
 
+BROADCAST_KEYS = 1_000_000  # line ids, eight bytes each
+
+
+def results_of_lines(
+    results: DataFrame, lines: DataFrame, bound: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Drops results of other lines before anything is shuffled, if the lines are few.
+
+    For reports that pick their lines by order or bar code. The ids are counted first, from the small
+    tables alone, and broadcast only when there are at most ``bound``. Otherwise the results are left
+    as they are, and the join with the lines does the same work.
+    """
+    ids = lines.select("commercial_order_line_id").distinct()
+    if ids.limit(bound + 1).count() > bound:
+        return results
+    return results.join(F.broadcast(ids), "commercial_order_line_id", "left_semi")
+
+
 def name_parameters(results: DataFrame, test_parameter: DataFrame, how: str = "left") -> DataFrame:
     """Adds ``test_parameter_name``; with ``how='left'`` unknown parameters stay, unnamed."""
     names = test_parameter.withColumnRenamed("test_parameter_code", "commercial_parameter_code")
     return results.join(names, "commercial_parameter_code", how)
 
 
-def restrict_to_mapped(
-    results: DataFrame, tables: Tables, test_parameter: DataFrame | None = None
-) -> DataFrame:
-    """Keeps results whose item and parameter are known and mapped to each other, and names them.
-
-    ``test_parameter`` may be a part of the table of that name, to keep those parameters only.
-    """
+def restrict_to_mapped(results: DataFrame, tables: Tables) -> DataFrame:
+    """Keeps results whose item is known and mapped to their parameter."""
     items = tables["commercial_item"].withColumnRenamed("commercial_item_code", "commercial_item")
     mapped = tables["commercial_item_test_parameter_map"].select(
         F.col("commercial_item_id").alias("commercial_item"),
         F.col("test_parameter_code").alias("commercial_parameter_code"),
     )
     allowed = mapped.join(items, "commercial_item", "left_semi")
-    kept = results.join(allowed, ["commercial_item", "commercial_parameter_code"], "left_semi")
-    names = tables["test_parameter"] if test_parameter is None else test_parameter
-    return name_parameters(kept, names, "inner")
+    return results.join(allowed, ["commercial_item", "commercial_parameter_code"], "left_semi")
 
 
 def group_members(tables: Tables) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creamline.functions.text import folded
 from creamline.operators.aggregates import collapse_by_key
+from creamline.operators.joins import name_parameters
 
 _LABEL = "_label"
 
@@ -16,17 +17,18 @@ def pivot_results(
     labels: Sequence[str],
     name: str = "test_parameter_name",
     value: str = "aggregated_value",
+    exact: bool = False,
 ) -> DataFrame:
     """One column per label holding the greatest value; every other column is a key.
 
     The keys are taken from the frame, so two rows that differ anywhere else stay apart. Rows with
     an unlisted name still make their group appear. The fixed label list saves the job that would
-    look for distinct names.
+    look for distinct names. ``exact`` skips folding names that are already spelled like the labels.
     """
     keys = [c for c in frame.columns if c not in (name, value)]
-    by_fold = {label.lower(): label for label in labels}
+    by_fold = {label if exact else label.lower(): label for label in labels}
     wide = (
-        frame.withColumn(_LABEL, folded(F.col(name)))
+        frame.withColumn(_LABEL, F.col(name) if exact else folded(F.col(name)))
         .groupBy(*keys)
         .pivot(_LABEL, list(by_fold))
         .agg(F.max(value))
@@ -34,19 +36,35 @@ def pivot_results(
     return wide.select(*keys, *[F.col(f"`{fold}`").alias(label) for fold, label in by_fold.items()])
 
 
+def spelled_like(test_parameter: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """The parameter table with its names spelled like the labels they equal.
+
+    Doing this on the small table spares every result the comparison.
+    """
+    name = F.col("test_parameter_name")
+    spelled = F.coalesce(*[F.when(folded(name) == m.lower(), m) for m in labels], name)
+    return test_parameter.withColumn("test_parameter_name", spelled)
+
+
 def pivot_by_line(
-    results: DataFrame, labels: Sequence[str], value: Column, keys: Mapping[str, Column]
+    results: DataFrame,
+    test_parameter: DataFrame,
+    labels: Sequence[str],
+    value: Column,
+    keys: Mapping[str, Column],
 ) -> DataFrame:
-    """First stage of a pivot over named results: one row per order line and ``keys``.
+    """First stage of a pivot: names the results and gives one row per order line and ``keys``.
 
     Results of a line are stored together, so most of the work happens before the shuffle, and a
-    line with very many results is spread by its keys instead of being sent to one task.
+    line with very many results is spread by its keys instead of being sent to one task. Results
+    with an unknown parameter count like unlisted ones.
     """
-    rows = results.select(
+    named = name_parameters(results, spelled_like(test_parameter, labels))
+    rows = named.select(
         "commercial_order_line_id", "test_parameter_name", value.alias("aggregated_value"),
         *[col.alias(name) for name, col in keys.items()],
     )
-    return pivot_results(rows, labels)
+    return pivot_results(rows, labels, exact=True)
 
 
 def merge_pivoted(frame: DataFrame, labels: Sequence[str]) -> DataFrame:

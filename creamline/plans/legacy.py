@@ -41,7 +41,8 @@ def _lines(tables: Tables, days: float, now: datetime | None, rules: LabRules):
 
 def legacy_pivot(tables: Tables, window, lines: DataFrame, lab_copy: bool) -> DataFrame:
     labels = OFFICIAL_MEASURES if lab_copy else LEGACY_MEASURES
-    measured = measured_lines(tables, results_until(tables, window), labels, RED_TAG_TESTS, {})
+    results = results_until(tables["reportable_result"], window)
+    measured = measured_lines(tables, results, labels, RED_TAG_TESTS, {})
     unused = ["billing_week", "order_line_status", "btu_number", *([] if lab_copy else ["region"])]
     samples = sample_columns(lines, "state").withColumn("seq", seq_middle(F.col("bar_code")))
     rows = enrich_results(measured, samples.drop(*unused))

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from creamline.functions.dates import days_from_midnight, local_date
 from creamline.functions.text import same_text, seq_right
 from creamline.operators.aggregates import collapse_by_key
+from creamline.operators.completion import completions, with_status
 from creamline.operators.filters import (
     all_present,
     any_present,
     any_present_or_blank,
     restrict_to_keys,
 )
-from creamline.operators.joins import Tables, enrich_results
+from creamline.operators.joins import Tables, enrich_lines, enrich_results, results_of_lines
 from creamline.operators.layout import present
 from creamline.plans.rules import (
     BACTERIA_MEASURES,
@@ -26,7 +27,7 @@ from creamline.plans.rules import (
     RED_TAG_TESTS,
     LabRules,
 )
-from creamline.plans.steps import finished_lines, measured_lines, results_until
+from creamline.plans.steps import measured_lines, results_until
 from creamline.sources.sinks import shared
 from creamline.sources.tables import parse_key_list
 
@@ -62,15 +63,17 @@ def red_tag_samples(
 ) -> DataFrame:
     """One row per bar code with all measures; what the sections select from."""
     window = days_from_midnight(days, now, default=30, zero_is_unset=True)
-    lines = finished_lines(tables, window, rules)
+    lines = enrich_lines(with_status(tables["commercial_order_line"], rules.status), tables)
     wanted = F.lit(False) if order_code is None else same_text(
         F.col("commercial_order_code"), order_code
     )
-    lines = lines.filter(wanted)
     keys = parse_key_list(lines.sparkSession, bar_codes)
-    lines = restrict_to_keys(lines, keys, "bar_code")
+    lines = restrict_to_keys(lines.filter(wanted), keys, "bar_code")
+    results = results_of_lines(tables["reportable_result"], lines)
+    finished = completions(results, window).withColumnRenamed("id", "commercial_order_line_id")
+    lines = lines.join(finished, "commercial_order_line_id")
     measured = measured_lines(
-        tables, results_until(tables, window), MEASURES, RED_TAG_TESTS, {}
+        tables, results_until(results, window), MEASURES, RED_TAG_TESTS, {}
     )
     samples = lines.select(
         "commercial_order_line_id",

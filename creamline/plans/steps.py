@@ -36,10 +36,10 @@ def finished_lines(tables: Tables, window: ReportWindow, rules: LabRules) -> Dat
     return enrich_lines(eligible, tables)
 
 
-def results_until(tables: Tables, window: ReportWindow) -> DataFrame:
+def results_until(results: DataFrame, window: ReportWindow) -> DataFrame:
     """Results that a line completed in the window can have: none is later than its end."""
     stamp = F.col("result_validation_date")
-    return tables["reportable_result"].filter(window.before_end(stamp) | stamp.isNull())
+    return results.filter(window.before_end(stamp) | stamp.isNull())
 
 
 def measured_lines(
@@ -49,11 +49,11 @@ def measured_lines(
     official_tests: Sequence[str],
     keys: Mapping[str, Column],
 ) -> DataFrame:
-    """Coded results pivoted per order line, official flag and ``keys``; unknown parameters count."""
-    named = name_parameters(results, tables["test_parameter"])
+    """Coded results pivoted per order line, official flag and ``keys``."""
     official = flag_official(F.col("commercial_test_code"), official_tests)
     return pivot_by_line(
-        named, labels, code_results(F.col("aggregated_value")), {"is_official": official, **keys}
+        results, tables["test_parameter"], labels, code_results(F.col("aggregated_value")),
+        {"is_official": official, **keys},
     )
 
 
@@ -76,8 +76,9 @@ def mapped_results(
     parameters = tables["test_parameter"]
     if only is not None:
         parameters = parameters.filter(text_in(F.col("test_parameter_name"), only))
-    results = enrich_results(results_until(tables, window), lines)
-    return restrict_to_mapped(results, tables, parameters)
+    results = results_until(tables["reportable_result"], window)
+    named = name_parameters(results, parameters, "inner")
+    return restrict_to_mapped(enrich_results(named, lines), tables)
 
 
 def with_technician(
