@@ -449,7 +449,7 @@ def _(t):
     SELECT producer_code, string_agg(tank, ',' ORDER BY tank) AS tank
     FROM (SELECT * FROM ctx WHERE tank IS NOT NULL) GROUP BY producer_code"""))
 def _(t):
-    return aggregates.concat_all(_lines(t), ["producer_code"], "tank")
+    return aggregates.concat_all(_lines(t), ["producer_code"], ["tank"])
 
 
 @query("count_tests", lab("SELECT count(DISTINCT bar_code) AS \"numOfTests\" FROM ctx"))
@@ -992,7 +992,7 @@ _GOAT = _feed(
       "Fat", "True Protein", "Lactose", "Solids not fat (SNF)", '' AS "Total Solids",
       "Somatic cells", sample_temp AS "TemperatureAtSampling", "Bacteria", "Freezing point",
       '00.00' AS "Water", '' AS "Blank1", ihb AS "IHB", '' AS "Sedi", '' AS "Blank2",
-      tank AS "Tank", '' AS "Blank3", 'DQCI' AS "Fixed DQCI", "Coliforms", "Lab Pasteurized Count",
+      tank AS "Tank", '' AS "Blank3", 'LAB' AS "Fixed Lab", "Coliforms", "Lab Pasteurized Count",
       "Pre-incubation Count (PI)", '' AS "Blank4", mid_seq AS seq, '' AS "Sample ID ?",
       "Milk Urea Nitrogen (MUN)", '0' AS "Fixed2", anti_flag AS "Anti #", '0' AS "Fixed3",
       tested AS "CompTestDate", '0' AS "Fixed4" """,

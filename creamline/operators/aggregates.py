@@ -21,18 +21,22 @@ def concat_distinct(col: Column, separator: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(col)), separator)
 
 
-def concat_all(frame: DataFrame, keys: Sequence[str], column: str, separator: str = ",") -> DataFrame:
-    """Every value of the group, repeats included, in order.
+def concat_all(
+    frame: DataFrame, keys: Sequence[str], columns: Sequence[str], separator: str = ","
+) -> DataFrame:
+    """Every value of the group, repeats included, in order; one text per column.
 
     Repeats are counted first, so a group is gathered by its distinct values only.
     """
-    counted = frame.filter(F.col(column).isNotNull()).groupBy(*keys, column).count()
-    runs = F.array_sort(F.collect_list(F.struct(column, "count")))
-    joined = F.array_join(
-        F.flatten(F.transform(runs, lambda r: F.array_repeat(r[column], r["count"].cast("int")))),
-        separator,
-    )
-    return counted.groupBy(*keys).agg(joined.alias(column))
+    counted = frame.groupBy(*keys, *columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
+
+    def joined(column: str) -> Column:
+        runs = F.array_sort(F.collect_list(F.struct(column, "_times")))
+        known = F.filter(runs, lambda run: run[column].isNotNull())
+        repeats = F.flatten(F.transform(known, lambda r: F.array_repeat(r[column], r["_times"])))
+        return F.when(F.size(repeats) > 0, F.array_join(repeats, separator))
+
+    return counted.groupBy(*keys).agg(*[joined(c).alias(c) for c in columns])
 
 
 def collapse_by_key(frame: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -100,7 +100,7 @@ def goat_feed(
         "Total Solids": "", CELLS: col(CELLS),
         "TemperatureAtSampling": col("temperature_at_sampling"), "Bacteria": col("Bacteria"),
         FREEZING: col(FREEZING), "Water": "00.00", "Blank1": "", "IHB": col("IHB"), "Sedi": "",
-        "Blank2": "", "Tank": col("tank"), "Blank3": "", "Fixed DQCI": "DQCI",
+        "Blank2": "", "Tank": col("tank"), "Blank3": "", "Fixed Lab": rules.lab_code,
         "Coliforms": col("Coliforms"), "Lab Pasteurized Count": col("Lab Pasteurized Count"),
         "Pre-incubation Count (PI)": col("Pre-incubation Count (PI)"), "Blank4": "",
         "seq": col("seq"), "Sample ID ?": "",

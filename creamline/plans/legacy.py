@@ -29,6 +29,7 @@ from creamline.plans.steps import (
     results_until,
     with_technician,
 )
+from creamline.sources.sinks import shared
 
 DAY = ["producer_code", "sampling_date"]
 _COMPLETE = (*IDENTIFIED[:2], "bar_code", "sampling_date", *LEGACY_MEASURES)
@@ -69,7 +70,7 @@ def legacy_official(
         lines = slice_by(lines, slice_kind, slice_value, tables)
     elif slice_kind and slice_kind.lower() in ("field rep", "state rep"):
         lines = optional_filters(lines, **{slice_kind.lower().replace(" ", "_"): slice_value})
-    pivoted = legacy_pivot(tables, window, lines, lab_copy)
+    pivoted = shared(legacy_pivot(tables, window, lines, lab_copy))
     averaged_by = "region" if lab_copy else "state"
     usable = require_columns(pivoted, _COMPLETE, filled=["seq"]).filter(
         F.col("is_official") == "Y"
@@ -77,8 +78,7 @@ def legacy_official(
     inside = text_in(F.col(averaged_by), rules.averaged_regions)
     keys = [*DAY, "bar_code"] if lab_copy else DAY
     means = average_by_group(usable.filter(inside), keys, AVERAGED).drop("tank", "seq")
-    for name in ("tank", "seq"):
-        means = means.join(concat_all(pivoted, DAY, name), DAY, "left")
+    means = means.join(concat_all(pivoted, DAY, ["tank", "seq"]), DAY, "left")
     others = usable.filter(~inside)
     rows = means.select(others.columns).unionByName(others)
     if lab_copy:

@@ -68,7 +68,7 @@ def red_tag_samples(
         F.col("commercial_order_code"), order_code
     )
     keys = parse_key_list(lines.sparkSession, bar_codes)
-    lines = restrict_to_keys(lines.filter(wanted), keys, "bar_code")
+    lines = shared(restrict_to_keys(lines.filter(wanted), keys, "bar_code"))
     results = results_of_lines(tables["reportable_result"], lines)
     finished = completions(results, window).withColumnRenamed("id", "commercial_order_line_id")
     lines = lines.join(finished, "commercial_order_line_id")

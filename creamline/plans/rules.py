@@ -58,7 +58,10 @@ ALERT_LIMITS = {"Bacteria Count": 750, "Somatic Cells": 1000}
 
 @dataclass(frozen=True)
 class LabRules:
-    """What a laboratory may want to change about the reports."""
+    """What a laboratory may want to change about the reports.
+
+    ``lab_code`` is the laboratory's own short name, which goes into the goat client's record.
+    """
 
     status: str = "Completed"
     official_items: tuple[str, ...] = OFFICIAL_ITEMS
@@ -66,6 +69,7 @@ class LabRules:
     technician_parameter: str = TECHNICIAN_PARAMETER
     alert_region: str = "WI"
     feed_state: str | None = "IA"
+    lab_code: str = "LAB"
     strict_numbers: bool = False
 
 

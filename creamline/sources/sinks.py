@@ -26,6 +26,32 @@ def write_report(
     return written
 
 
+BUCKET_KEYS = {"reportable_result": "commercial_order_line_id", "commercial_order_line": "id"}
+
+
+def save_bucketed(
+    tables: Mapping[str, DataFrame], path: str, buckets: int, prefix: str = "lab_"
+) -> dict[str, str]:
+    """Stores results and order lines as catalog tables bucketed by order line.
+
+    Completion, the pivot per line and the join of both then need no shuffle of the results. Choose
+    ``buckets`` so that one bucket of results fits a task. Rows are first dealt to their buckets, so
+    that every bucket is one file.
+    """
+    names = {}
+    for name, key in BUCKET_KEYS.items():
+        names[name] = f"{prefix}{name}"
+        (
+            tables[name].repartition(buckets, key)
+            .write.mode("overwrite")
+            .option("path", f"{path.rstrip('/')}/{name}")
+            .bucketBy(buckets, key)
+            .sortBy(key)
+            .saveAsTable(names[name])
+        )
+    return names
+
+
 def shared(frame: DataFrame) -> DataFrame:
     """Stores a frame that several datasets read, where the cluster names a checkpoint folder.
 

@@ -3,14 +3,16 @@
 from datetime import date, datetime
 
 import pytest
-from lab import CELLS, FULL, INSIDE, ROWS, results, tables
+from lab import CELLS, FULL, ROWS, results, tables
 
 from creamline.catalog import QUERIES
 from creamline.plans import alerts, feeds, legacy, official, records, redtag, sheets
 from creamline.plans.rules import LabRules
 from creamline.schemas import SCHEMAS
-from creamline.sources.sinks import shared, write_report
-from creamline.sources.tables import load_tables
+from creamline.functions.dates import between_dates
+from creamline.operators.completion import completed_in_window
+from creamline.sources.sinks import save_bucketed, shared, write_report
+from creamline.sources.tables import load_tables, with_bucketed
 
 FIRST, LAST = date(2018, 10, 1), date(2018, 10, 10)
 NOW = datetime(2018, 10, 10, 12)
@@ -179,5 +181,20 @@ def test_filters_reach_the_scan(spark, lab, tmp_path):
     assert "EqualTo(commercial_parameter_code,UM0004ZH)" in plan
 
 
-def test_inside_value():
-    assert INSIDE.date() < LAST
+def test_bucketed_results_are_not_shuffled(spark, lab, tmp_path):
+    for name, frame in lab.items():
+        frame.write.parquet(f"{tmp_path}/plain/{name}")
+    loaded = load_tables(spark, f"{tmp_path}/plain")
+    stored = with_bucketed(loaded, spark, save_bucketed(loaded, f"{tmp_path}/stored", 4))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        window = between_dates(FIRST, LAST)
+        done = completed_in_window(
+            stored["reportable_result"], stored["commercial_order_line"], window, "Completed")
+        assert "Exchange" not in plan_of(done)
+        assert sorted(r.id for r in done.collect()) == [1, 3, 6, 7, 8]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rows = official.official_report(stored, FIRST, LAST, mode="raw").collect()
+    assert rows == official.official_report(lab, FIRST, LAST, mode="raw").collect()
