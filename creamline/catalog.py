@@ -886,7 +886,7 @@ def _(t):
 
 
 def _mask(label: str) -> str:
-    return f'CAST(TRY_CAST("{label}" AS DECIMAL(18, 2)) AS VARCHAR) AS "{label}"'
+    return f"""CAST(TRY_CAST(coalesce("{label}", '0') AS DECIMAL(18, 2)) AS VARCHAR) AS "{label}" """
 
 
 def _frozen(label: str, sign: str = "-") -> str:
@@ -894,7 +894,7 @@ def _frozen(label: str, sign: str = "-") -> str:
             f' AS "{label}"')
 
 
-_MASKED = ["Fat", "True Protein", "Lactose", "Other Solids", "Milk Urea Nitrogen (MUN)"]
+_MASKED = ["Fat", "True Protein", "Lactose", "Other Solids"]
 
 
 @query("components_sheet", lab(
@@ -923,7 +923,8 @@ def _(t):
 
 
 @query("inspector_sheet", lab(
-    f'SELECT * REPLACE ({_frozen("Freezing point")}) FROM ({_INSPECTOR[0]})', *_INSPECTOR[1:]))
+    f"""SELECT * REPLACE (regexp_replace("Freezing point", '\\.?0+$', '') AS "Freezing point")
+    FROM (SELECT * REPLACE ({_frozen("Freezing point")}) FROM ({_INSPECTOR[0]}))""", *_INSPECTOR[1:]))
 def _(t):
     return records.inspector_sheet(sheets.inspector_report(t, DAYS, NOW))
 
@@ -968,7 +969,7 @@ def _(t):
 
 
 @query("dairy_print", lab(
-    f"""SELECT * REPLACE ({", ".join(map(_mask, [*_MASKED, "Solids not fat (SNF)"]))}),
+    f"""SELECT * REPLACE ({", ".join(map(_mask, [*_MASKED, "Solids not fat (SNF)", "Milk Urea Nitrogen (MUN)"]))}),
       CASE WHEN "Freezing point" IS NULL THEN '<0.1'
         ELSE {_WATER.replace("value", '"Freezing point"')} END AS "Water"
     FROM ({_DAIRY[0]})""", *_DAIRY[1:]))

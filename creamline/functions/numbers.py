@@ -72,7 +72,7 @@ def total_solids(fat: Column, solids_not_fat: Column) -> Column:
     """Fat plus other solids as text, or '' when either is missing."""
     total = fat.try_cast("decimal(18,6)") + solids_not_fat.try_cast("decimal(18,6)")
     present = has_text(fat) & has_text(solids_not_fat)
-    return F.when(present, _without_tail_zeros(total.cast("string"))).otherwise("")
+    return F.when(present, without_tail_zeros(total.cast("string"))).otherwise("")
 
 
 def freezing_point(value: Column, negate: bool = True) -> Column:
@@ -85,7 +85,7 @@ def water_percent(freezing: Column) -> Column:
     """Added water in percent from the freezing point; ``<0.1`` outside (0, 540) or when missing."""
     fp = F.when(freezing.isNull(), F.lit(0.0)).otherwise(freezing.try_cast("double"))
     percent = F.bround((F.lit(540) - fp) / F.lit(5.4), 2)
-    shown = _without_tail_zeros(percent.cast("decimal(18,2)").cast("string"))
+    shown = without_tail_zeros(percent.cast("decimal(18,2)").cast("string"))
     inside = (fp > 0) & (fp < 540)
     return F.when(inside, shown).when(fp.isNotNull(), "<0.1")
 
@@ -110,5 +110,12 @@ def state_rounding_shown(value: Column) -> Column:
     return F.nullif(state_rounding(value), F.lit("0"))
 
 
-def _without_tail_zeros(text: Column) -> Column:
+def without_tail_zeros(text: Column) -> Column:
+    """Decimal text without closing zeros or a closing point."""
     return F.regexp_replace(text, r"\.?0+$", "")
+
+
+def plain_decimal(value: Column) -> Column:
+    """Numeric text as it stands; other text becomes NULL and a missing value zero."""
+    text = F.coalesce(F.trim(value), F.lit("0"))
+    return F.when(text.try_cast("decimal(18,6)").isNotNull(), text)

@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from lab import CELLS, FULL, ROWS, results, tables
+from pyspark.sql import functions as F
 
 from creamline.catalog import QUERIES
 from creamline.plans import alerts, feeds, legacy, official, records, redtag, sheets
@@ -11,6 +12,7 @@ from creamline.plans.rules import LabRules
 from creamline.schemas import SCHEMAS
 from creamline.functions.dates import between_dates
 from creamline.operators.completion import completed_in_window
+from creamline.sources.retail import lab_tables
 from creamline.sources.sinks import save_bucketed, shared, write_report
 from creamline.sources.tables import load_tables, with_bucketed
 
@@ -166,6 +168,34 @@ def test_official_pivot_is_shuffled_once(spark):
     assert "ReusedExchange" in plan
 
 
+def test_hot_order_line_is_split(spark):
+    """A third of all results on one order line: the join with the lines splits it over tasks."""
+    source = lab_tables(spark, SF.replace("sf0.001", "sf0.01"))
+    tables = {name: source[name] for name in SCHEMAS}
+    facts, line = tables["reportable_result"], "commercial_order_line_id"
+    hot = tables["commercial_order_line"].filter(
+        "commercial_order_line_status = 'Completed'").agg(F.min("id")).first()[0]
+    every_third = F.pmod(F.xxhash64(*facts.columns), F.lit(3)) == 0
+    tables["reportable_result"] = facts.withColumn(
+        line, F.when(every_third, F.lit(hot)).otherwise(F.col(line)))
+    small = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        wide = sheets.inspector_wide(tables, 2600, datetime(2001, 12, 31), LabRules(feed_state=None))
+        assert "SortMergeJoin(skew=true) [commercial_order_line_id" in final_plan_of(wide)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_results_are_never_broadcast(spark):
     plan = plan_of(QUERIES["goat_feed"](spark, SF))
     assert "SortMergeJoin [commercial_order_line_id" in plan

@@ -54,6 +54,12 @@ def test_decimals_and_freezing_point(apply):
     assert apply(lambda v: numbers.freezing_point(v, False).cast("string"), ["540"]) == ["0.540"]
 
 
+def test_plain_decimals(apply):
+    assert apply(numbers.plain_decimal, ["12.50", " 3", "NF", None]) == ["12.50", "3", None, "0"]
+    assert apply(numbers.without_tail_zeros, ["-0.530", "0.000", "-1.000", "20.00"]) == [
+        "-0.53", "0", "-1", "20"]
+
+
 def test_numbers_from_text(apply):
     assert apply(numbers.number, ["1.5", " 2 ", "", " ", "NF", None]) == [1.5, 2.0, 0.0, 0.0, None, None]
     assert apply(numbers.whole_number, ["7", "1.5", "", "NF", None]) == [7, None, 0, None, None]
