@@ -91,18 +91,23 @@ def days_from_now(days: float, now: datetime | None = None) -> ReportWindow:
     return ReportWindow(_utc(now - timedelta(days=days)), _utc(now))
 
 
+# The layouts below go through plain dates and hours, so that the session's time zone and its
+# daylight saving gaps cannot move a zoneless time.
+
+
 def date_text(col: Column, layout: str = "MM/dd/yyyy") -> Column:
-    return F.date_format(col, layout)
+    return F.date_format(col.cast("date"), layout)
 
 
 def date_or_zeros(col: Column) -> Column:
-    return F.coalesce(F.date_format(col, "yyyyMMdd"), F.lit("00000000"))
+    return F.coalesce(date_text(col, "yyyyMMdd"), F.lit("00000000"))
 
 
 def clock_text(col: Column) -> Column:
-    return F.date_format(col, "HH:mm")
+    return F.when(col.isNotNull(), F.format_string("%02d:%02d", F.hour(col), F.minute(col)))
 
 
 def execution_stamp(now: datetime | None = None, day_first: bool = False) -> Column:
-    layout = "dd/MM/yyyy  h:mm:ss a" if day_first else "MM/dd/yyyy  h:mm:ss a"
-    return F.date_format(_stamp(_local_now(now)), layout)
+    now = _local_now(now)
+    day = f"{now:%d/%m/%Y}" if day_first else f"{now:%m/%d/%Y}"
+    return F.lit(f"{day}  {now.hour % 12 or 12}:{now:%M:%S} {'AM' if now.hour < 12 else 'PM'}")

@@ -99,6 +99,17 @@ def test_local_time_has_no_daylight_saving(apply):
     assert apply(dates.clock_text, [datetime(2018, 7, 1, 16, 5)], "timestamp_ntz") == ["16:05"]
 
 
+def test_layouts_do_not_depend_on_the_session_zone(spark, apply):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = [datetime(2018, 3, 11, 2, 30), None]
+        assert apply(dates.clock_text, gap, "timestamp_ntz") == ["02:30", None]
+        assert apply(dates.date_text, gap, "timestamp_ntz") == ["03/11/2018", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_windows():
     now = datetime(2018, 10, 10, 15, 30)
     assert dates.between_dates(date(2018, 10, 1), date(2018, 10, 10)) == dates.ReportWindow(
