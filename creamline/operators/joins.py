@@ -73,15 +73,21 @@ def name_parameters(results: DataFrame, test_parameter: DataFrame, how: str = "l
     return results.join(names, "commercial_parameter_code", how)
 
 
-def restrict_to_mapped(results: DataFrame, tables: Tables) -> DataFrame:
-    """Keeps results whose item is known and mapped to their parameter."""
+def mapped_pairs(tables: Tables) -> DataFrame:
+    """Known items with each parameter mapped to them."""
     items = tables["commercial_item"].withColumnRenamed("commercial_item_code", "commercial_item")
     mapped = tables["commercial_item_test_parameter_map"].select(
         F.col("commercial_item_id").alias("commercial_item"),
         F.col("test_parameter_code").alias("commercial_parameter_code"),
     )
-    allowed = mapped.join(items, "commercial_item", "left_semi")
-    return results.join(allowed, ["commercial_item", "commercial_parameter_code"], "left_semi")
+    return mapped.join(items, "commercial_item", "left_semi")
+
+
+def restrict_to_mapped(results: DataFrame, tables: Tables) -> DataFrame:
+    """Keeps results whose item is known and mapped to their parameter."""
+    return results.join(
+        mapped_pairs(tables), ["commercial_item", "commercial_parameter_code"], "left_semi"
+    )
 
 
 def group_members(tables: Tables) -> DataFrame:

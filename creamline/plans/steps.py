@@ -17,6 +17,7 @@ from creamline.operators.joins import (
     enrich_lines,
     enrich_results,
     fill_from_lookup,
+    mapped_pairs,
     name_parameters,
     restrict_to_mapped,
     technicians,
@@ -68,12 +69,16 @@ def mapped_results(
     """Results of finished lines for mapped parameters, enriched and named.
 
     ``only`` drops other measures early. It may be given where a report keeps a row only if one of
-    those measures is present, since the others then add nothing.
+    those measures is present, since the others then add nothing. Lines and parameters without any
+    mapping are dropped on their own side already, before the results are shuffled.
     """
+    pairs = mapped_pairs(tables)
     lines = optional_filters(finished_lines(tables, window, rules), state=state)
     if required:
         lines = require_columns(lines, required)
-    parameters = tables["test_parameter"]
+    lines = lines.join(pairs.select("commercial_item"), "commercial_item", "left_semi")
+    codes = pairs.select(F.col("commercial_parameter_code").alias("test_parameter_code"))
+    parameters = tables["test_parameter"].join(codes, "test_parameter_code", "left_semi")
     if only is not None:
         parameters = parameters.filter(text_in(F.col("test_parameter_name"), only))
     results = results_until(tables["reportable_result"], window)
