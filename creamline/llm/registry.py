@@ -1,11 +1,13 @@
 """Queries of the training-data operators. SQL expresses none of them whole; tests/llm compares with brute force."""
 
 from creamline.llm.licenses import op5_license_scan
+from creamline.llm.mixing import op4_source_mixing
 from creamline.llm.quality_rules import op6_quality_rules
 from creamline.llm.simhash import op1_simhash_near_dedup
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_source_mixing": op4_source_mixing,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
 }
