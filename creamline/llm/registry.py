@@ -2,6 +2,7 @@
 
 from creamline.llm.licenses import op5_license_scan
 from creamline.llm.mixing import op4_source_mixing
+from creamline.llm.pieces import op7_sentencepiece
 from creamline.llm.quality_rules import op6_quality_rules
 from creamline.llm.simhash import op1_simhash_near_dedup
 from creamline.llm.token_counts import op10_token_counts
@@ -11,6 +12,7 @@ QUERIES = {
     "op4_source_mixing": op4_source_mixing,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sentencepiece": op7_sentencepiece,
     "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
