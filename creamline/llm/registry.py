@@ -3,12 +3,14 @@
 from creamline.llm.licenses import op5_license_scan
 from creamline.llm.mixing import op4_source_mixing
 from creamline.llm.pieces import op7_sentencepiece
+from creamline.llm.quality_model import op2_quality_classifier
 from creamline.llm.quality_rules import op6_quality_rules
 from creamline.llm.simhash import op1_simhash_near_dedup
 from creamline.llm.token_counts import op10_token_counts
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
