@@ -2,6 +2,7 @@
 
 from creamline.llm.licenses import op5_license_scan
 from creamline.llm.mixing import op4_source_mixing
+from creamline.llm.pii import op8_personal_data
 from creamline.llm.pieces import op7_sentencepiece
 from creamline.llm.quality_model import op2_quality_classifier
 from creamline.llm.quality_rules import op6_quality_rules
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_personal_data": op8_personal_data,
     "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
