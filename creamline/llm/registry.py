@@ -1,5 +1,6 @@
 """Queries of the training-data operators. SQL expresses none of them whole; tests/llm compares with brute force."""
 
+from creamline.llm.embedding_dedup import op9_embedding_near_dedup
 from creamline.llm.licenses import op5_license_scan
 from creamline.llm.mixing import op4_source_mixing
 from creamline.llm.pii import op8_personal_data
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_personal_data": op8_personal_data,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
