@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -34,23 +35,25 @@ def ship(spark: SparkSession) -> None:
     context.creamline_shipped = True
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """The frame written to spark.checkpoint.dir, its lineage cut. Sets a folder only where none is set (tests)."""
-    context = frame.sparkSession.sparkContext
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; one is set here only where the session has none, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="creamline-checkpoint-"))
-    return frame.checkpoint(eager=True)
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="creamline-checkpoint-"))
+    return context.getCheckpointDir()
 
 
-def fold_ascii(text):
-    """A-Z lower-cased, nothing else."""
-    return F.translate(text, UPPER, LOWER)
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame in the session's checkpoint folder, its lineage cut; for narrow tables that are read again."""
+    _shared_folder(frame.sparkSession)
+    return frame.checkpoint(eager=True)
 
 
-def texts_of(batch: pa.RecordBatch, column: str) -> Iterator[str]:
-    """The texts of a batch one at a time, null as empty."""
-    for value in batch.column(column):
-        yield value.as_py() or ""
+def written(frame: DataFrame) -> DataFrame:
+    """The frame as Parquet below the session's checkpoint folder, read again; for whole documents."""
+    path = f"{_shared_folder(frame.sparkSession)}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
 
 
 def map_rows(

@@ -8,11 +8,13 @@ from creamline.llm.pieces import op7_sentencepiece
 from creamline.llm.quality_model import op2_quality_classifier
 from creamline.llm.quality_rules import op6_quality_rules
 from creamline.llm.simhash import op1_simhash_near_dedup
+from creamline.llm.suffix_dedup import op3_suffix_array_dedup
 from creamline.llm.token_counts import op10_token_counts
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
