@@ -132,6 +132,13 @@ def _(t):
     return _completed(t, dates.days_from_midnight(DAYS, NOW))
 
 
+@query("completed_default_week", _completed_sql(
+    "max(validated) > TIMESTAMP '1997-12-24 05:00:00'"
+    " AND max(validated) <= TIMESTAMP '1997-12-31 17:00:00'"))
+def _(t):
+    return _completed(t, dates.days_from_midnight(None, datetime(1997, 12, 31, 12), default=7))
+
+
 @query("completed_from_now", _completed_sql(
     "max(validated) > TIMESTAMP '1996-05-23 17:00:00'"
     " AND max(validated) <= TIMESTAMP '2000-07-01 17:00:00'"))
@@ -368,10 +375,15 @@ def _int(value: str) -> str:
             f" THEN TRY_CAST({value} AS INT) END")
 
 
+def _above(value: str, limit: int) -> str:
+    """Above the limit, or not readable and so perhaps above it."""
+    return f"({_int(value)} > {limit} OR ({value} IS NOT NULL AND {_int(value)} IS NULL))"
+
+
 @query("threshold_alert", lab(f"""
     SELECT line_id AS commercial_order_line_id, bar_code,
       {_int('"Bacteria Count"')} * 1000 AS "Bacteria Count", "Freezing point"
-    FROM wide WHERE {_int('"Bacteria Count"')} > 750""", _WIDE))
+    FROM wide WHERE {_above('"Bacteria Count"', 750)}""", _WIDE))
 def _(t):
     return filters.threshold_alert(_wide(t), "Bacteria Count", 750).select(_SHOWN)
 
@@ -445,11 +457,13 @@ def _(t):
     return rows.groupBy("producer_code").agg(aggregates.concat_distinct(F.col("tank")).alias("tank"))
 
 
-@query("concat_all", lab("""
-    SELECT producer_code, string_agg(tank, ',' ORDER BY tank) AS tank
-    FROM (SELECT * FROM ctx WHERE tank IS NOT NULL) GROUP BY producer_code"""))
+@query("concat_all", lab(f"""
+    SELECT producer_code, {DAY.format("sampling_date", "sampling_date")},
+      string_agg(tank, ',' ORDER BY tank) AS tank
+    FROM ctx GROUP BY producer_code, ctx.sampling_date"""))
 def _(t):
-    return aggregates.concat_all(_lines(t), ["producer_code"], ["tank"])
+    rows = _lines(t).withColumn("sampling_date", dates.local_date(F.col("sampling_time")))
+    return aggregates.concat_all(rows, ["producer_code", "sampling_date"], ["tank"])
 
 
 @query("count_tests", lab("SELECT count(DISTINCT bar_code) AS \"numOfTests\" FROM ctx"))
@@ -598,7 +612,7 @@ _WATER = f"""CASE WHEN {_FP} > 0 AND {_FP} < 540 THEN regexp_replace(
 
 @query("count_layouts", lab(f"""
     SELECT value, {_ROUNDED} AS state_rounded, nullif({_ROUNDED}, '0') AS state_shown,
-      printf('%04d', coalesce(TRY_CAST(value AS INT), 0)) AS four_digits,
+      CASE WHEN value IS NULL THEN '0000' ELSE printf('%04d', TRY_CAST(value AS INT)) END AS four_digits,
       format('{{:,}}', TRY_CAST(value AS INT)) AS separated,
       {_degrees('-')} AS freezing, {_degrees('')} AS freezing_unsigned, {_WATER} AS water
     FROM (SELECT DISTINCT value FROM rr WHERE param IN ('UM0004ZH', 'JJ00047N', 'P003'))"""))
@@ -765,7 +779,7 @@ def _alert_sql(measure: str, limit: int) -> str:
     SELECT "Client Name", "ProducerCode", bar_code AS "Barcode", {_int('m')} * 1000 AS "{measure}",
       "SamplingTime", "TestDate", "Sample Temp", temperature AS "Analysis Temperature"
     FROM found JOIN tech USING (bar_code)
-    WHERE {_int('m')} > {limit} AND lab_tech IS NOT NULL
+    WHERE {_above('m', limit)} AND lab_tech IS NOT NULL
       AND (week IS NULL OR upper(week) NOT IN ('N/A', 'NA'))
       AND "Sample Temp" IS NOT NULL AND parcel IS NOT NULL AND temperature IS NOT NULL""",
     _TECH, f"""found AS (
@@ -851,6 +865,44 @@ def _(t):
     return redtag.red_tag(t, "all", ORDER, DAYS, NOW, bar_codes=",".join(_TAGGED))
 
 
+def _sections_sql() -> str:
+    """The four section queries one below the other, measures of other sections NULL."""
+    parts = []
+    for section, measures_ in redtag.SECTIONS.items():
+        shown = ", ".join(f'"{m}"' if m in measures_ else f'NULL AS "{m}"' for m in redtag.MEASURES)
+        number = 'NULL AS "CkrNumber"' if section == "all" else '"CkrNumber"'
+        parts.append(f"""SELECT '{section}' AS section, "Barcode", {number}, "ChrNumber", "ProducerCode",
+          "Tank", "Seq", "SamplingTime", "Client Name", {shown} FROM samples WHERE {_RED_TAG_WHERE[section]}""")
+    return " UNION ALL ".join(parts)
+
+
+_RED_TAG_WHERE = {
+    "all": "TRUE",
+    "components": " AND ".join(f'"{m}" IS NOT NULL' for m in R.COMPONENT_MEASURES),
+    "bacteria": " OR ".join(f'"{m}" IS NOT NULL' for m in R.BACTERIA_MEASURES),
+    "cultures": " OR ".join(f'"{m}" IS NOT NULL' for m in R.CULTURE_MEASURES if m != redtag.DOUBTFUL)
+    + f' OR length(rtrim("{redtag.DOUBTFUL}")) > 0',
+}
+
+
+@query("red_tag_datasets", lab(_sections_sql(), f"""samples AS (
+      SELECT bar_code AS "Barcode", max(ckr_number) AS "CkrNumber", max(chr_number) AS "ChrNumber",
+        max(producer_code) AS "ProducerCode", max(tank) AS "Tank", max(seq) AS "Seq",
+        {DAY.format("max(sampling_date)", '"SamplingTime"')}, max(client_name) AS "Client Name",
+        {measures(redtag.MEASURES, CODED)}
+      FROM rr JOIN recent USING (line_id) JOIN ctx USING (line_id)
+      WHERE order_code = 'CO-7' GROUP BY bar_code
+    )"""))
+def _(t):
+    return redtag.red_tag_all_sections(t, ORDER, DAYS, NOW)
+
+
+@query("red_tag_zero_days", _red_tag_sql("all").replace(
+    "TIMESTAMP '1996-05-23 05:00:00'", "CAST(NULL AS TIMESTAMP)"))  # zero leaves the start unknown
+def _(t):
+    return redtag.red_tag(t, "all", ORDER, 0, NOW)
+
+
 # --- reports: sheets and feeds -------------------------------------------------------------------
 
 def _mapped_pivot(labels, keys: str, value: str = "value", where: str = "TRUE") -> str:
@@ -1007,6 +1059,17 @@ def _(t):
     return feeds.goat_feed(t, DAYS, NOW)
 
 
+_GOAT_ZERO = tuple(
+    part.replace('tested AS "TestDate"', '\'00000000\' AS "TestDate"')
+    .replace('tested AS "CompTestDate"', '\'00000000\' AS "CompTestDate"')
+    .replace(f", {_TESTED} AS tested", "") for part in _GOAT)
+
+
+@query("goat_feed_zero_dates", lab(*_GOAT_ZERO))
+def _(t):
+    return feeds.goat_feed(t, DAYS, NOW, test_dates=False)
+
+
 def _implied(label: str) -> str:
     return f"""replace(format('{{:,.2f}}', TRY_CAST("{label}" AS DOUBLE)), '.', '') AS "{label}" """
 
@@ -1040,21 +1103,38 @@ def _(t):
     return feeds.minnesota_feed(t, DAYS, NOW)
 
 
-@query("minnesota_feed_with_freezing_point", lab(*_feed(
-    _MN_SELECT, _MN_KEYS, [*R.COUNT_MEASURES, "Freezing point"],
-    ["Somatic cells", "Freezing point"])))
-def _(t):
-    return feeds.minnesota_feed(t, DAYS, NOW, need_freezing_point=True)
-
-
 def _digits(label: str, width: int) -> str:
-    return f"""printf('%0{width}d', coalesce(CAST(TRY_CAST("{label}" AS DOUBLE) AS INT), 0)) AS "{label}" """
+    return f"""CASE WHEN "{label}" IS NULL THEN '{"0" * width}'
+      ELSE printf('%0{width}d', CAST(TRY_CAST("{label}" AS DOUBLE) AS INT)) END AS "{label}" """
 
 
 _COUNTED = ", ".join([_digits("TemperatureAtSampling", 2), _digits("Somatic cells", 4),
                       _digits("Bacteria", 4)])
 
 
+_MN_DEPLOYED = _feed(
+    _MN_SELECT.replace('tested AS "SccTestDate", tested AS "SpcTestDate"',
+                       '\'00000000\' AS "ESCC Date", \'00000000\' AS "PLC Date"')
+    .replace('"MilkGrade"', '"Grade"'),
+    _MN_KEYS.replace(f"{_TESTED} AS tested,", ""), [*R.COUNT_MEASURES, "Freezing point"],
+    ["Somatic cells", "Freezing point"])
+
+
+@query("minnesota_record_zero_dates", lab(
+    f"""SELECT * REPLACE (strftime("SamplingTime", '%Y%d%m') AS "SamplingTime", {_COUNTED})
+    FROM ({_MN_DEPLOYED[0]})""", *_MN_DEPLOYED[1:]))
+def _(t):
+    return records.minnesota_record(
+        feeds.minnesota_feed(t, DAYS, NOW, need_freezing_point=True, test_dates=False))
+
+
+@query("minnesota_feed_with_freezing_point", lab(*_feed(
+    _MN_SELECT, _MN_KEYS, [*R.COUNT_MEASURES, "Freezing point"],
+    ["Somatic cells", "Freezing point"])))
+def _(t):
+    return feeds.minnesota_feed(t, DAYS, NOW, need_freezing_point=True)
+
+
 @query("minnesota_record", lab(
     f"""SELECT * REPLACE (strftime("SamplingTime", '%Y%d%m') AS "SamplingTime", {_COUNTED})
     FROM ({_MN[0]})""", *_MN[1:]))
@@ -1118,6 +1198,13 @@ def _(t):
     return feeds.tennessee_feed(t, DAYS, NOW)
 
 
+@query("tennessee_feed_fixed_count", lab(
+    _TN[0].replace('"Bacteria" AS "SPC (x1000)"', '\'575\' AS "SPC (x1000)"')
+    .replace('"Bacteria" AS "SPC Reported (x1000)"', '\'575\' AS "SPC Reported (x1000)"'), *_TN[1:]))
+def _(t):
+    return feeds.tennessee_feed(t, DAYS, NOW, plate_count="575")
+
+
 def _state_rounded(label: str) -> str:
     return f"""nullif({_ROUNDED.replace("value", f'"{label}"')}, '0') AS "{label}" """
 

@@ -1,6 +1,8 @@
 """The same laboratory tables and report stages in SQL, to compare results with."""
 
-from creamline.sources.retail import HUNDREDTHS, ITEMS, PARAMETERS, STATES
+import re
+
+from creamline.sources.retail import COUNTS, HUNDREDTHS, ITEMS, PARAMETERS, STATES
 
 
 def _values(rows) -> str:
@@ -37,6 +39,7 @@ CTES = {
         par.code AS param, par.name AS name,
         CASE WHEN n = 1 THEN CASE l_suppkey % 7 WHEN 1 THEN 'Positive' WHEN 2 THEN 'Not Found'
             ELSE 'NOT FOUND' END
+          WHEN n IN {COUNTS!r} AND l_suppkey % 19 = 5 THEN '>3000'
           WHEN n = 3 AND l_suppkey % 13 = 0 THEN ''
           WHEN n = 14 AND l_suppkey % 3 = 0 THEN ''
           WHEN n = 4 THEN CAST({_AMOUNT} % 10 AS VARCHAR)
@@ -135,5 +138,12 @@ def official(codes) -> str:
 
 
 def lab(body: str, *extra: str) -> str:
-    """``body`` preceded by the laboratory tables and the extra CTEs."""
-    return "WITH " + ",\n".join([*CTES.values(), *extra]) + "\n" + body
+    """``body`` preceded by the extra CTEs and those laboratory tables that they use."""
+    used, look = set(), [body, *extra]
+    while look:
+        words = set(re.findall(r"\w+", look.pop()))
+        for name in CTES.keys() & words - used:
+            used.add(name)
+            look.append(CTES[name])
+    parts = [*(sql for name, sql in CTES.items() if name in used), *extra]
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body

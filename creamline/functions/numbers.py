@@ -32,8 +32,9 @@ def to_decimal(value: Column, places: int = 2) -> Column:
 
 
 def half_even_int(value: Column) -> Column:
-    """Nearest integer, ties to even; a missing value counts as zero."""
-    return F.coalesce(F.bround(value.try_cast("decimal(18,6)"), 0).cast("int"), F.lit(0))
+    """Nearest integer, ties to even; a missing value counts as zero, unreadable text gives NULL."""
+    whole = F.bround(value.try_cast("decimal(18,6)"), 0).cast("int")
+    return F.when(value.isNull(), F.lit(0)).otherwise(whole)
 
 
 def padded(value: Column, width: int, parens: bool = False) -> Column:

@@ -33,8 +33,13 @@ def concat_all(
     def joined(column: str) -> Column:
         runs = F.array_sort(F.collect_list(F.struct(column, "_times")))
         known = F.filter(runs, lambda run: run[column].isNotNull())
-        repeats = F.flatten(F.transform(known, lambda r: F.array_repeat(r[column], r["_times"])))
-        return F.when(F.size(repeats) > 0, F.array_join(repeats, separator))
+        repeats = F.transform(
+            known,
+            lambda run: F.concat(
+                run[column], F.repeat(F.concat(F.lit(separator), run[column]), run["_times"] - 1)
+            ),
+        )
+        return F.when(F.size(known) > 0, F.array_join(repeats, separator))
 
     return counted.groupBy(*keys).agg(*[joined(c).alias(c) for c in columns])
 
@@ -84,6 +89,7 @@ def average_or_collapse(
     concatenated: Sequence[str] = ("tank", "seq"),
     group: Sequence[str] = ("producer_code", "sampling_date"),
     unit: str = "bar_code",
+    strict: bool = False,
 ) -> DataFrame:
     """Official rows averaged per producer and day in ``regions``, collapsed per bar code elsewhere.
 
@@ -93,7 +99,7 @@ def average_or_collapse(
     """
     usable = (F.col("is_official") == "Y") & has_text(F.col("seq"))
     inside = text_in(F.col("region"), regions)
-    means = average_by_group(frame, group, averaged, concatenated, usable & inside)
+    means = average_by_group(frame, group, averaged, concatenated, usable & inside, strict)
     others = collapse_where(frame, [unit], usable & ~inside)
     return means.unionByName(others.select(means.columns))
 

@@ -114,6 +114,11 @@ def find_complete(
 def threshold_alert(
     frame: DataFrame, measure: str, limit: int, scale: int = 1000, strict: bool = False
 ) -> DataFrame:
-    """Rows whose measure exceeds ``limit``, with the measure rescaled to single units."""
+    """Rows whose measure exceeds ``limit``, with the measure rescaled to single units.
+
+    A measure that cannot be read as a whole number may be above any limit: its row stays, the measure
+    NULL, unless ``strict`` makes it an error.
+    """
     count = whole_number(_col(measure), strict)
-    return frame.filter(count > limit).withColumn(measure, count * scale)
+    unreadable = _col(measure).isNotNull() & count.isNull()
+    return frame.filter((count > limit) | unreadable).withColumn(measure, count * scale)

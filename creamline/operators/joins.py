@@ -1,7 +1,8 @@
 """Joining results with their order line, sample, order, client and producer.
 
-No join carries a broadcast hint. Reference tables are broadcast when their size, known from the
-files or measured at run time, is under the session's threshold, and are shuffled otherwise.
+No join carries a hint. A side is broadcast when its size, known from the files or measured at run time,
+is under the session's threshold, and both are shuffled otherwise. Results meet the lines of a report in
+a semi join before anything else, so that they are never a side to be broadcast.
 """
 
 from __future__ import annotations
@@ -34,37 +35,19 @@ def enrich_lines(lines: DataFrame, tables: Tables) -> DataFrame:
 
 
 def enrich_results(results: DataFrame, enriched_lines: DataFrame) -> DataFrame:
-    """Results with their enriched order line.
-
-    The lines have been filtered by then, so the fact table meets a side that is already as small as
-    the report allows. Both sides are shuffled and merged: file sizes say too little about how large
-    results are in memory to ever risk broadcasting them. Both shuffles feed the join directly, which
-    lets adaptive execution split a hot order line over several tasks.
-    """
-    return facts(results).join(enriched_lines, "commercial_order_line_id")
-
-
-def facts(results: DataFrame) -> DataFrame:
-    """Marks the results as a side that must not be broadcast."""
-    return results.hint("merge")
+    """Results, or measures pivoted per line, with their enriched order line."""
+    return results.join(enriched_lines, "commercial_order_line_id")
 
 
-BROADCAST_KEYS = 1_000_000  # line ids, eight bytes each
-
-
-def results_of_lines(
-    results: DataFrame, lines: DataFrame, bound: int = BROADCAST_KEYS
-) -> DataFrame:
-    """Drops results of other lines before anything is shuffled, if the lines are few.
+def of_lines(results: DataFrame, lines: DataFrame) -> DataFrame:
+    """Only the results of these lines.
 
-    For reports that pick their lines by order or bar code. The ids are counted first, from the small
-    tables alone, and broadcast only when there are at most ``bound``. Otherwise the results are left
-    as they are, and the join with the lines does the same work.
+    The join keeps nothing but the line id of the right side, and only that side of a semi join can be
+    broadcast. Spark decides by its size: a few ids cut the results in the scan stage, many are
+    shuffled with them. Either way nothing of another line goes on.
     """
-    ids = lines.select("commercial_order_line_id").distinct()
-    if ids.limit(bound + 1).count() > bound:
-        return results
-    return results.join(F.broadcast(ids), "commercial_order_line_id", "left_semi")
+    ids = lines.select("commercial_order_line_id")
+    return results.join(ids, "commercial_order_line_id", "left_semi")
 
 
 def name_parameters(results: DataFrame, test_parameter: DataFrame, how: str = "left") -> DataFrame:
@@ -138,9 +121,10 @@ def technicians(tables: Tables, parameter: str, bar_codes: DataFrame | None = No
     lines = tables["commercial_order_line"].select(
         F.col("id").alias("commercial_order_line_id"), "sample_id"
     )
+    wanted = lines.join(samples, "sample_id")
     return (
-        facts(measured)
-        .join(lines.join(samples, "sample_id"), "commercial_order_line_id")
+        of_lines(measured, wanted)
+        .join(wanted, "commercial_order_line_id")
         .join(tables["result_set"], "sequence_number")
         .select("bar_code", "operator_code")
     )

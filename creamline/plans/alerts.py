@@ -43,7 +43,7 @@ def alert_candidates(
     tested = measured_date(F.col("result_measured_time"), F.col("result_validation_date"))
     measures = [measure, TEMPERATURE]
     results = results_until(tables["reportable_result"], window)
-    measured = measured_lines(tables, results, measures, ALERT_TESTS, {"test_date": tested})
+    measured = measured_lines(tables, results, lines, measures, ALERT_TESTS, {"test_date": tested})
     rows = enrich_results(measured, sample_columns(lines))
     samples = collapse_by_key(
         official_rows(rows).drop("is_official", "commercial_order_line_id"),

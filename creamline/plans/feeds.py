@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creamline.functions.coding import (
+    INHIBITOR_PARAMETER,
     antibiotic_flag,
     grade_or_zero,
     inhibitor_flag,
@@ -23,7 +24,7 @@ from creamline.functions.text import seq_middle
 from creamline.operators.filters import require_columns
 from creamline.operators.joins import Tables
 from creamline.operators.layout import feed_layout
-from creamline.operators.pivots import pivot_results
+from creamline.operators.pivots import merge_pivoted
 from creamline.plans.rules import (
     CELL_COUNT_PARAMETER,
     COUNT_MEASURES,
@@ -33,12 +34,14 @@ from creamline.plans.rules import (
     LabRules,
 )
 from creamline.plans.sheets import KEYS
-from creamline.plans.steps import mapped_results
+from creamline.plans.steps import mapped_lines, sheet_rows
 
 CELLS, FREEZING = "Somatic cells", "Freezing point"
 
 _VALUE = "aggregated_value"
 _PARAMETER = "commercial_parameter_code"
+_ITEM = "commercial_item"
+_INHIBITOR = "inhibitor_result"
 
 
 def _tested() -> Column:
@@ -55,21 +58,24 @@ def feed_rows(
     days: float,
     now: datetime | None,
     rules: LabRules,
-    plain: Sequence[str],
-    derived: Mapping[str, Column],
+    shown: Sequence[str | Column],
+    flags: Mapping[str, Column],
     measures: Sequence[str],
     needed: Sequence[str],
+    late: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Pivoted rows of one feed: plain columns and derived flags are keys besides the usual ones."""
-    results = mapped_results(
-        tables, days_from_now(days, now), rules, rules.feed_state, only=measures
-    )
-    rows = results.select(
-        "producer_code", "tank", seq_middle(F.col("bar_code")).alias("seq"), "bar_code",
-        "visit_number", "sampling_time", *plain, "test_parameter_name", _VALUE,
-        *[col.alias(name) for name, col in derived.items()],
-    )
-    return require_columns(pivot_results(rows, measures), [*KEYS, *needed], filled=["seq"])
+    """Pivoted rows of one feed. ``shown`` columns of the line and ``flags`` of a result are keys.
+
+    ``late`` flags need both a line and a result flag; they take the place of the columns they use.
+    """
+    window = days_from_now(days, now)
+    lines = mapped_lines(tables, window, rules, rules.feed_state)
+    columns = ["producer_code", "tank", seq_middle(F.col("bar_code")).alias("seq"), "bar_code",
+               "visit_number", "sampling_time", *shown]
+    rows = sheet_rows(tables, window, lines, measures, columns, flags, F.col(_VALUE), only=measures)
+    if late:
+        rows = rows.withColumns(late).drop(_ITEM, _INHIBITOR)
+    return require_columns(merge_pivoted(rows, measures), [*KEYS, *needed], filled=["seq"])
 
 
 def goat_feed(
@@ -84,12 +90,12 @@ def goat_feed(
     derived = {
         "IHB": inhibitor_flag(value, parameter, "NF", "AL", "NT"),
         "Anti #": inhibitor_flag(value, parameter, "2", "1", "0"),
-        "Official": official_by_item(F.col("commercial_item"), "99", None),
     }
+    official = official_by_item(F.col(_ITEM), "99", None).alias("Official")
     if test_dates:
         derived |= {"TestDate": _tested(), "CompTestDate": _tested()}
-    rows = feed_rows(tables, days, now, rules, ["temperature_at_sampling"], derived,
-                     FEED_MEASURES, [CELLS, FREEZING])
+    rows = feed_rows(tables, days, now, rules, ["temperature_at_sampling", official],
+                     derived, FEED_MEASURES, [CELLS, FREEZING])
     col = F.col
     return feed_layout(rows, {  # fixed values: record fields and fillers, in order
         "DSI Company": "01", "DSI Division": "141", "ProducerCode": col("producer_code"),
@@ -116,28 +122,35 @@ def minnesota_feed(
     now: datetime | None = None,
     rules: LabRules = DEFAULT_RULES,
     need_freezing_point: bool = False,
+    test_dates: bool = True,
 ) -> DataFrame:
-    """State record. The printed form also asks for a freezing point."""
+    """State record. The printed form also asks for a freezing point.
+
+    Without ``test_dates`` both dates are zeros and the last columns go by the names of that form.
+    """
     derived = {
         "IHB": inhibitor_flag(F.col(_VALUE), F.col(_PARAMETER), "2", "1", "0", other_is_null=True),
-        "SccTestDate": _tested(),
-        "SpcTestDate": _tested(),
-        "MilkGrade": grade_or_zero(F.col("grade")),
     }
+    if test_dates:
+        derived |= {"SccTestDate": _tested(), "SpcTestDate": _tested()}
     measures = [*COUNT_MEASURES, FREEZING] if need_freezing_point else COUNT_MEASURES
     rows = feed_rows(
         tables, days, now, rules,
-        ["state", "producer_name", "state_rep", "grade", "temperature_at_sampling"], derived,
-        measures, [CELLS, FREEZING] if need_freezing_point else [CELLS],
+        ["state", "producer_name", "state_rep", "grade", "temperature_at_sampling",
+         grade_or_zero(F.col("grade")).alias("MilkGrade")],
+        derived, measures, [CELLS, FREEZING] if need_freezing_point else [CELLS],
     )
     col = F.col
+    if test_dates:
+        dates = {"SccTestDate": col("SccTestDate"), "SpcTestDate": col("SpcTestDate")}
+    else:
+        dates = {"ESCC Date": "00000000", "PLC Date": "00000000"}
     return feed_layout(rows, {  # fixed values: record fields and fillers, in order
         "ProducerCode": col("producer_code"), "SamplingTime": col("sampling_time"),
         "TemperatureAtSampling": col("temperature_at_sampling"), CELLS: col(CELLS),
         "Bacteria": col("Bacteria"), "IHB": col("IHB"), "ST#": "00", "Plant BTU#": "000",
-        "FIXED(5)": "00000", "Fixed(1)": "0", "SccTestDate": col("SccTestDate"),
-        "SpcTestDate": col("SpcTestDate"), "FIXED(6)": "000000", "FIXED(8)": "00000000",
-        "MilkGrade": col("MilkGrade"),
+        "FIXED(5)": "00000", "Fixed(1)": "0", **dates, "FIXED(6)": "000000",
+        "FIXED(8)": "00000000", "MilkGrade" if test_dates else "Grade": col("MilkGrade"),
     })
 
 
@@ -152,12 +165,14 @@ def wisconsin_feed(
     derived = {
         "SccTestDate": _tested_for(CELL_COUNT_PARAMETER, dates_per_test),
         "SpcTestDate": _tested_for(TECHNICIAN_PARAMETER, dates_per_test),
-        "Anti": antibiotic_flag(F.col("commercial_item"), F.col(_PARAMETER)),
+        _INHIBITOR: F.col(_PARAMETER) == INHIBITOR_PARAMETER,
     }
+    anti = F.when(F.col(_INHIBITOR), INHIBITOR_PARAMETER).otherwise("")
     rows = feed_rows(
         tables, days, now, rules,
-        ["route_number", "state", "producer_name", "state_rep", "grade", "temperature_at_sampling"],
-        derived, COUNT_MEASURES, [CELLS],
+        ["route_number", "state", "producer_name", "state_rep", "grade", "temperature_at_sampling",
+         _ITEM],
+        derived, COUNT_MEASURES, [CELLS], late={"Anti": antibiotic_flag(F.col(_ITEM), anti)},
     )
     col = F.col
     return feed_layout(rows, {  # fixed values: record fields and fillers, in order

@@ -29,7 +29,6 @@ from creamline.plans.steps import (
     results_until,
     with_technician,
 )
-from creamline.sources.sinks import shared
 
 DAY = ["producer_code", "sampling_date"]
 _COMPLETE = (*IDENTIFIED[:2], "bar_code", "sampling_date", *LEGACY_MEASURES)
@@ -43,7 +42,7 @@ def _lines(tables: Tables, days: float, now: datetime | None, rules: LabRules):
 def legacy_pivot(tables: Tables, window, lines: DataFrame, lab_copy: bool) -> DataFrame:
     labels = OFFICIAL_MEASURES if lab_copy else LEGACY_MEASURES
     results = results_until(tables["reportable_result"], window)
-    measured = measured_lines(tables, results, labels, RED_TAG_TESTS, {})
+    measured = measured_lines(tables, results, lines, labels, RED_TAG_TESTS, {})
     unused = ["billing_week", "order_line_status", "btu_number", *([] if lab_copy else ["region"])]
     samples = sample_columns(lines, "state").withColumn("seq", seq_middle(F.col("bar_code")))
     rows = enrich_results(measured, samples.drop(*unused))
@@ -70,14 +69,16 @@ def legacy_official(
         lines = slice_by(lines, slice_kind, slice_value, tables)
     elif slice_kind and slice_kind.lower() in ("field rep", "state rep"):
         lines = optional_filters(lines, **{slice_kind.lower().replace(" ", "_"): slice_value})
-    pivoted = shared(legacy_pivot(tables, window, lines, lab_copy))
+    pivoted = legacy_pivot(tables, window, lines, lab_copy)
     averaged_by = "region" if lab_copy else "state"
     usable = require_columns(pivoted, _COMPLETE, filled=["seq"]).filter(
         F.col("is_official") == "Y"
     ).drop("is_official")
     inside = text_in(F.col(averaged_by), rules.averaged_regions)
     keys = [*DAY, "bar_code"] if lab_copy else DAY
-    means = average_by_group(usable.filter(inside), keys, AVERAGED).drop("tank", "seq")
+    means = average_by_group(
+        usable.filter(inside), keys, AVERAGED, strict=rules.strict_numbers
+    ).drop("tank", "seq")
     means = means.join(concat_all(pivoted, DAY, ["tank", "seq"]), DAY, "left")
     others = usable.filter(~inside)
     rows = means.select(others.columns).unionByName(others)

@@ -101,7 +101,7 @@ def official_pivot(
     lines = require_columns(enrich_lines(lines, tables), IDENTIFIED)
     lines = slice_by(lines, slice_kind, slice_value, tables)
     measured = measured_lines(
-        tables, tables["reportable_result"], OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
+        tables, tables["reportable_result"], lines, OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
         {"result_validation_date": F.col("result_validation_date")},
     )
     rows = enrich_results(measured, sample_columns(lines, "commercial_item"))
@@ -134,7 +134,8 @@ def official_report(
         rows = collapse_by_key(official_rows(pivoted).drop("commercial_item"), ["bar_code"])
     else:
         rows = average_or_collapse(
-            pivoted.drop("commercial_item"), rules.averaged_regions, AVERAGED
+            pivoted.drop("commercial_item"), rules.averaged_regions, AVERAGED,
+            strict=rules.strict_numbers,
         )
     rows = with_technician(rows, tables, rules, _eligible_bar_codes(tables, window, rules))
     if chosen == "all":

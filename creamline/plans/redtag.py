@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creamline.functions.dates import days_from_midnight, local_date
-from creamline.functions.text import same_text, seq_right
+from creamline.functions.text import has_text, same_text, seq_right
 from creamline.operators.aggregates import collapse_by_key
 from creamline.operators.completion import completions, with_status
 from creamline.operators.filters import (
@@ -17,7 +19,7 @@ from creamline.operators.filters import (
     any_present_or_blank,
     restrict_to_keys,
 )
-from creamline.operators.joins import Tables, enrich_lines, enrich_results, results_of_lines
+from creamline.operators.joins import Tables, enrich_lines, enrich_results, of_lines
 from creamline.operators.layout import present
 from creamline.plans.rules import (
     BACTERIA_MEASURES,
@@ -28,7 +30,6 @@ from creamline.plans.rules import (
     LabRules,
 )
 from creamline.plans.steps import measured_lines, results_until
-from creamline.sources.sinks import shared
 from creamline.sources.tables import parse_key_list
 
 MEASURES = tuple(dict.fromkeys([*COMPONENT_MEASURES, *BACTERIA_MEASURES, *CULTURE_MEASURES]))
@@ -68,12 +69,12 @@ def red_tag_samples(
         F.col("commercial_order_code"), order_code
     )
     keys = parse_key_list(lines.sparkSession, bar_codes)
-    lines = shared(restrict_to_keys(lines.filter(wanted), keys, "bar_code"))
-    results = results_of_lines(tables["reportable_result"], lines)
+    lines = restrict_to_keys(lines.filter(wanted), keys, "bar_code")
+    results = of_lines(tables["reportable_result"], lines)
     finished = completions(results, window).withColumnRenamed("id", "commercial_order_line_id")
     lines = lines.join(finished, "commercial_order_line_id")
     measured = measured_lines(
-        tables, results_until(results, window), MEASURES, RED_TAG_TESTS, {}
+        tables, results_until(tables["reportable_result"], window), lines, MEASURES, RED_TAG_TESTS, {}
     )
     samples = lines.select(
         "commercial_order_line_id",
@@ -85,6 +86,19 @@ def red_tag_samples(
     return collapse_by_key(rows, ["bar_code"])
 
 
+def _in_section(section: str) -> Column:
+    """Whether a sample belongs to a section."""
+    present = [F.col(f"`{m}`").isNotNull() for m in SECTIONS[section]]
+    if section == "components":
+        return reduce(and_, present)
+    if section == "bacteria":
+        return reduce(or_, present)
+    if section == "cultures":
+        known = [F.col(f"`{m}`").isNotNull() for m in SECTIONS[section] if m != DOUBTFUL]
+        return reduce(or_, known) | has_text(F.col(f"`{DOUBTFUL}`"))
+    return F.lit(True)
+
+
 def red_tag_section(samples: DataFrame, section: str = "all", sort: bool = True) -> DataFrame:
     """All samples, those with every component, any bacteria measure, or any culture measure."""
     section = section.lower()
@@ -114,6 +128,28 @@ def red_tag(
     return red_tag_section(samples, section, sort)
 
 
+def red_tag_all_sections(
+    tables: Tables,
+    order_code: str | None,
+    days: int | None = None,
+    now: datetime | None = None,
+    bar_codes: str | None = None,
+    rules: LabRules = DEFAULT_RULES,
+) -> DataFrame:
+    """All four sections in one frame, each row under the ``section`` it belongs to.
+
+    The samples are computed once. A measure that a section does not list is NULL in its rows.
+    """
+    samples = red_tag_samples(tables, order_code, days, now, bar_codes, rules)
+    sections = F.array_compact(F.array(*[F.when(_in_section(s), F.lit(s)) for s in SECTIONS]))
+    rows = samples.withColumn("section", F.explode(sections))
+    listed = {m: [s for s, own in SECTIONS.items() if m in own] for m in MEASURES}
+    shown = {m: F.when(F.col("section").isin(in_), F.col(f"`{m}`")) for m, in_ in listed.items()}
+    number = F.when(F.col("section") != "all", F.col("ckr_number"))
+    heads = {title: number if c == "ckr_number" else F.col(c) for c, title in _HEAD.items()}
+    return rows.select("section", *[col.alias(title) for title, col in (heads | shown).items()])
+
+
 def red_tag_datasets(
     tables: Tables,
     order_code: str | None,
@@ -122,6 +158,6 @@ def red_tag_datasets(
     bar_codes: str | None = None,
     rules: LabRules = DEFAULT_RULES,
 ) -> dict[str, DataFrame]:
-    """All four sections from one computation of the samples."""
-    samples = shared(red_tag_samples(tables, order_code, days, now, bar_codes, rules))
+    """The four sections as frames of their own, for writers that want one folder each."""
+    samples = red_tag_samples(tables, order_code, days, now, bar_codes, rules)
     return {section: red_tag_section(samples, section) for section in SECTIONS}

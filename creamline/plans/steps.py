@@ -18,8 +18,7 @@ from creamline.operators.joins import (
     enrich_results,
     fill_from_lookup,
     mapped_pairs,
-    name_parameters,
-    restrict_to_mapped,
+    of_lines,
     technicians,
 )
 from creamline.operators.layout import with_text_null
@@ -46,44 +45,73 @@ def results_until(results: DataFrame, window: ReportWindow) -> DataFrame:
 def measured_lines(
     tables: Tables,
     results: DataFrame,
+    lines: DataFrame,
     labels: Sequence[str],
     official_tests: Sequence[str],
     keys: Mapping[str, Column],
 ) -> DataFrame:
-    """Coded results pivoted per order line, official flag and ``keys``."""
+    """Coded results of the lines, pivoted per order line, official flag and ``keys``."""
     official = flag_official(F.col("commercial_test_code"), official_tests)
     return pivot_by_line(
-        results, tables["test_parameter"], labels, code_results(F.col("aggregated_value")),
-        {"is_official": official, **keys},
+        of_lines(results, lines), tables["test_parameter"], labels,
+        code_results(F.col("aggregated_value")), {"is_official": official, **keys},
     )
 
 
-def mapped_results(
+def mapped_lines(
     tables: Tables,
     window: ReportWindow,
     rules: LabRules,
     state: str | None = None,
     required: Sequence[str] = IDENTIFIED,
-    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Results of finished lines for mapped parameters, enriched and named.
-
-    ``only`` drops other measures early. It may be given where a report keeps a row only if one of
-    those measures is present, since the others then add nothing. Lines and parameters without any
-    mapping are dropped on their own side already, before the results are shuffled.
-    """
-    pairs = mapped_pairs(tables)
+    """Finished lines whose item has mapped parameters, enriched."""
     lines = optional_filters(finished_lines(tables, window, rules), state=state)
     if required:
         lines = require_columns(lines, required)
-    lines = lines.join(pairs.select("commercial_item"), "commercial_item", "left_semi")
-    codes = pairs.select(F.col("commercial_parameter_code").alias("test_parameter_code"))
-    parameters = tables["test_parameter"].join(codes, "test_parameter_code", "left_semi")
+    return lines.join(mapped_pairs(tables).select("commercial_item"), "commercial_item", "left_semi")
+
+
+def mapped_results(
+    tables: Tables, window: ReportWindow, lines: DataFrame, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Results of the lines for known parameters that are mapped to the line's item.
+
+    The lines are turned into the pairs of line and parameter that count, and one semi join with those
+    cuts the results, before anything of them is shuffled for a pivot. ``only`` drops other measures
+    early; it may be given where a report keeps a row only if one of those measures is present, since
+    the others then add nothing.
+    """
+    parameters = tables["test_parameter"]
     if only is not None:
         parameters = parameters.filter(text_in(F.col("test_parameter_name"), only))
-    results = results_until(tables["reportable_result"], window)
-    named = name_parameters(results, parameters, "inner")
-    return restrict_to_mapped(enrich_results(named, lines), tables)
+    known = parameters.select(F.col("test_parameter_code").alias("commercial_parameter_code"))
+    pairs = mapped_pairs(tables).join(known, "commercial_parameter_code", "left_semi").distinct()
+    counted = lines.select("commercial_order_line_id", "commercial_item").join(pairs, "commercial_item")
+    return results_until(tables["reportable_result"], window).join(
+        counted, ["commercial_order_line_id", "commercial_parameter_code"], "left_semi"
+    )
+
+
+def sheet_rows(
+    tables: Tables,
+    window: ReportWindow,
+    lines: DataFrame,
+    labels: Sequence[str],
+    shown: Sequence[str | Column],
+    flags: Mapping[str, Column],
+    value: Column,
+    only: Sequence[str] | None = None,
+) -> DataFrame:
+    """Mapped results in two stages: pivoted per line and flags, then with what is shown of the lines.
+
+    ``shown`` are columns of the lines, ``flags`` columns of a result that keep rows apart.
+    """
+    results = mapped_results(tables, window, lines, only)
+    measured = pivot_by_line(results, tables["test_parameter"], labels, value, flags)
+    return enrich_results(measured, lines.select("commercial_order_line_id", *shown)).drop(
+        "commercial_order_line_id"
+    )
 
 
 def with_technician(

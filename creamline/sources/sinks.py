@@ -51,15 +51,3 @@ def save_bucketed(
         )
     return names
 
-
-def shared(frame: DataFrame) -> DataFrame:
-    """Stores a frame that several readers use, where the cluster names a checkpoint folder.
-
-    Without one (``spark.checkpoint.dir`` unset) the frame stays lazy and each reader computes it.
-    """
-    session = frame.sparkSession
-    context = session.sparkContext
-    configured = session.conf.get("spark.checkpoint.dir", None)
-    if configured and context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return frame.checkpoint() if context.getCheckpointDir() else frame

@@ -1,5 +1,6 @@
 """Reports on the hand-made laboratory, sources, sinks and plan shapes."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -12,8 +13,7 @@ from creamline.plans.rules import LabRules
 from creamline.schemas import SCHEMAS
 from creamline.functions.dates import between_dates
 from creamline.operators.completion import completed_in_window
-from creamline.sources.retail import lab_tables
-from creamline.sources.sinks import save_bucketed, shared, write_report
+from creamline.sources.sinks import save_bucketed, write_report
 from creamline.sources.tables import load_tables, with_bucketed
 
 FIRST, LAST = date(2018, 10, 1), date(2018, 10, 10)
@@ -81,14 +81,6 @@ def test_red_tag_datasets_are_written(lab, tmp_path):
     assert "Bacteria Count(PI)" in spark.read.parquet(written[2]).columns
 
 
-def test_shared_uses_the_checkpoint_folder(spark, tmp_path):
-    frame = spark.range(5)
-    if spark.sparkContext.getCheckpointDir() is None:
-        assert shared(frame) is frame
-        spark.sparkContext.setCheckpointDir(str(tmp_path))
-    assert shared(frame).count() == 5
-
-
 def test_feed_rows_split_by_flags(spark):
     """The inhibitor result stays in a row of its own, so the record shows an untested sample."""
     lab = tables(
@@ -102,7 +94,7 @@ def test_feed_rows_split_by_flags(spark):
     assert {(r.ProducerCode, r.IHB, r["Anti #"]) for r in goat} == {("P1", "NT", "0"), ("P2", "NT", "0")}
     assert {r.IHB for r in sheets.dairy_sheet(lab, 30, NOW).collect()} == {"NT", "NF", "AL"}
     wisconsin = records.wisconsin_record(feeds.wisconsin_feed(lab, 30, NOW)).collect()
-    assert {(r["Somatic cells"], r.Grade) for r in wisconsin} == {("0200", "N/A"), ("0000", "N/A")}
+    assert {(r["Somatic cells"], r.Grade) for r in wisconsin} == {("0200", "N/A"), (None, "N/A")}
     tennessee = feeds.tennessee_feed(lab, 30, NOW, plate_count="575").first()
     assert tennessee["SPC Reported (x1000)"] == "575"
     assert feeds.goat_feed(lab, 30, NOW, test_dates=False).first().TestDate == "00000000"
@@ -168,37 +160,23 @@ def test_official_pivot_is_shuffled_once(spark):
     assert "ReusedExchange" in plan
 
 
-def test_hot_order_line_is_split(spark):
-    """A third of all results on one order line: the join with the lines splits it over tasks."""
-    source = lab_tables(spark, SF.replace("sf0.001", "sf0.01"))
-    tables = {name: source[name] for name in SCHEMAS}
-    facts, line = tables["reportable_result"], "commercial_order_line_id"
-    hot = tables["commercial_order_line"].filter(
-        "commercial_order_line_status = 'Completed'").agg(F.min("id")).first()[0]
-    every_third = F.pmod(F.xxhash64(*facts.columns), F.lit(3)) == 0
-    tables["reportable_result"] = facts.withColumn(
-        line, F.when(every_third, F.lit(hot)).otherwise(F.col(line)))
-    small = {
-        "spark.sql.shuffle.partitions": "16",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
-    }
-    before = {key: spark.conf.get(key) for key in small}
-    for key, value in small.items():
-        spark.conf.set(key, value)
-    try:
-        wide = sheets.inspector_wide(tables, 2600, datetime(2001, 12, 31), LabRules(feed_state=None))
-        assert "SortMergeJoin(skew=true) [commercial_order_line_id" in final_plan_of(wide)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
-def test_results_are_never_broadcast(spark):
-    plan = plan_of(QUERIES["goat_feed"](spark, SF))
-    assert "SortMergeJoin [commercial_order_line_id" in plan
+@pytest.mark.parametrize("name", ["official_report_raw", "immediate_response_bacteria", "red_tag_all",
+                                  "goat_feed", "dairy_sheet", "legacy_official_state"])
+def test_results_are_cut_to_the_lines_before_anything_else(spark, name):
+    """Each explode of raw results ends in the completion's grouping or in a semi join."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-|")) for line in lines]
+    for at, line in enumerate(lines):
+        if "Generate explode(sequence" not in line:
+            continue
+        above, level = [], depth[at]
+        for k in range(at - 1, -1, -1):
+            if depth[k] < level:
+                above.append(lines[k])
+                level = depth[k]
+        first = next(x for x in above if re.search(r"Aggregate|Join|Window", x))
+        assert "LeftSemi" in first or "max(result_validation_date" in first, first
 
 
 def test_filters_reach_the_scan(spark, lab, tmp_path):

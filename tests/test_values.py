@@ -43,6 +43,7 @@ def test_implied_decimal_keeps_thousands_separator(apply):
 
 def test_half_even_and_padding(apply):
     assert apply(numbers.half_even_int, ["2.5", "3.5", "-2.5", None, "7"]) == [2, 4, -2, 0, 7]
+    assert apply(numbers.half_even_int, [">3000", "NF", "", None]) == [None, None, None, 0]
     assert apply(lambda v: numbers.padded(v, 4), [7, 12345, -3], "int") == ["0007", "12345", "-0003"]
     assert apply(lambda v: numbers.padded(v, 4, parens=True), [7, -3], "int") == ["0007", "(3)"]
 
