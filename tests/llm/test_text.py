@@ -316,7 +316,7 @@ def test_reliable_labelers_are_told_from_unreliable_ones():
         for shape in (0, 1):
             for alone in (0, 1):
                 share = (0.95 if shape == truth else 0.05) * (0.9 if alone == truth else 0.1)
-                patterns.append({"kind": "card", "length": "short", "shape": shape, "cue": 1 if truth and shape else -1, "alone": alone, "quiet": -1, "varied": truth, "n": max(1, round(n * share))})
+                patterns.append({"kind": "card", "length": "short", "shape": shape, "cue": -1, "alone": alone, "quiet": -1, "varied": truth, "n": max(1, round(n * share))})
     likely, rates = pii.reliabilities(patterns)
     assert all((q > 0.5) == (p["varied"] == 1) for p, q in zip(patterns, likely, strict=True) if p["n"] >= 20)
     assert rates["shape", 1, 1] > 0.85 and rates["shape", 0, 0] > 0.85
