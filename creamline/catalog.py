@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
+from creamline.checks import Lists as L
 from creamline.checks import CODED, DAY, lab, mean, measures, number, official
 from creamline.functions import coding, dates, numbers, text
 from creamline.operators import aggregates, completion, filters, joins, layout, pivots
@@ -394,8 +395,8 @@ _PIVOT_KEYS = ["bar_code", "commercial_item", "is_official"]
 
 
 @query("pivot_results", lab(f"""
-    SELECT bar_code, item AS commercial_item, {official(R.OFFICIAL_REPORT_TESTS)} AS is_official,
-      {measures(R.OFFICIAL_MEASURES, CODED)}
+    SELECT bar_code, item AS commercial_item, {official(L.OFFICIAL_REPORT_TESTS)} AS is_official,
+      {measures(L.OFFICIAL_MEASURES, CODED)}
     FROM rr JOIN ctx USING (line_id) GROUP BY ALL"""))
 def _(t):
     rows = joins.name_parameters(
@@ -495,8 +496,8 @@ def _(t):
 
 @query("official_flags", lab(f"""
     SELECT test_code AS commercial_test_code, item AS commercial_item,
-      {official(R.OFFICIAL_REPORT_TESTS)} AS official_report,
-      {official(R.ALERT_TESTS)} AS alert, {official(R.RED_TAG_TESTS)} AS red_tag,
+      {official(L.OFFICIAL_REPORT_TESTS)} AS official_report,
+      {official(L.ALERT_TESTS)} AS alert, {official(L.RED_TAG_TESTS)} AS red_tag,
       CASE WHEN item = 'MVPQVP8' THEN '99' END AS by_item,
       CASE WHEN item = 'MVPQVP8' AND param = 'Z001JJPC' THEN '2' ELSE '0' END AS antibiotic,
       count(*) AS results
@@ -663,12 +664,12 @@ def _(t):
 
 # --- reports: official ---------------------------------------------------------------------------
 
-_LABELS = [*R.OFFICIAL_MEASURES]
+_LABELS = [*L.OFFICIAL_MEASURES]
 _ATTRIBUTES = """producer_code, region, producer_name, state_rep, tank, seq, bar_code, permit_number,
         sampling_date, field_rep, sample_temp, parcel_temp, billing_week, status, client_name,
         btu_number"""
 _PIVOT = f"""piv AS (
-      SELECT {_ATTRIBUTES}, item, {official(R.OFFICIAL_REPORT_TESTS)} AS is_official, validated,
+      SELECT {_ATTRIBUTES}, item, {official(L.OFFICIAL_REPORT_TESTS)} AS is_official, validated,
         {measures(_LABELS, CODED)}
       FROM rr JOIN ctx USING (line_id)
       WHERE sample_id IN (SELECT sample_id FROM picked) AND tank IS NOT NULL
@@ -790,7 +791,7 @@ def _alert_sql(measure: str, limit: int) -> str:
         max(CASE WHEN name = 'Analysis Temperature' THEN {CODED} END) AS temperature
       FROM rr JOIN recent USING (line_id) JOIN ctx USING (line_id)
       WHERE tank IS NOT NULL AND sampling_time IS NOT NULL AND region = 'WI'
-        AND {official(R.ALERT_TESTS)} = 'Y' AND length(rtrim(seq)) > 0
+        AND {official(L.ALERT_TESTS)} = 'Y' AND length(rtrim(seq)) > 0
       GROUP BY producer_code, bar_code
     )""")
 
@@ -817,7 +818,7 @@ def _(t):
 # --- reports: red tag ----------------------------------------------------------------------------
 
 def _red_tag_sql(section: str, where: str = "TRUE", only: str = "TRUE") -> str:
-    shown = redtag.SECTIONS[section]
+    shown = L.SECTIONS[section]
     ckr = "" if section == "all" else 'max(ckr_number) AS "CkrNumber",'
     return lab(f"""
     SELECT "Barcode", {"" if section == "all" else '"CkrNumber",'} "ChrNumber", "ProducerCode",
@@ -826,7 +827,7 @@ def _red_tag_sql(section: str, where: str = "TRUE", only: str = "TRUE") -> str:
       SELECT bar_code AS "Barcode", {ckr} max(chr_number) AS "ChrNumber",
         max(producer_code) AS "ProducerCode", max(tank) AS "Tank", max(seq) AS "Seq",
         {DAY.format("max(sampling_date)", '"SamplingTime"')}, max(client_name) AS "Client Name",
-        {measures(redtag.MEASURES, CODED)}
+        {measures(L.RED_TAG_MEASURES, CODED)}
       FROM rr JOIN recent USING (line_id) JOIN ctx USING (line_id)
       WHERE order_code = 'CO-7' AND {only} GROUP BY bar_code
     )""")
@@ -838,20 +839,20 @@ def _(t):
 
 
 @query("red_tag_components", _red_tag_sql(
-    "components", " AND ".join(f'"{m}" IS NOT NULL' for m in R.COMPONENT_MEASURES)))
+    "components", " AND ".join(f'"{m}" IS NOT NULL' for m in L.COMPONENT_MEASURES)))
 def _(t):
     return redtag.red_tag(t, "Components", ORDER, DAYS, NOW)
 
 
 @query("red_tag_bacteria", _red_tag_sql(
-    "bacteria", " OR ".join(f'"{m}" IS NOT NULL' for m in R.BACTERIA_MEASURES)))
+    "bacteria", " OR ".join(f'"{m}" IS NOT NULL' for m in L.BACTERIA_MEASURES)))
 def _(t):
     return redtag.red_tag(t, "bacteria", ORDER, DAYS, NOW)
 
 
 @query("red_tag_cultures", _red_tag_sql("cultures", " OR ".join(
-    f'"{m}" IS NOT NULL' for m in R.CULTURE_MEASURES if m != redtag.DOUBTFUL)
-    + f" OR length(rtrim(\"{redtag.DOUBTFUL}\")) > 0"))
+    f'"{m}" IS NOT NULL' for m in L.CULTURE_MEASURES if m != L.DOUBTFUL)
+    + f" OR length(rtrim(\"{L.DOUBTFUL}\")) > 0"))
 def _(t):
     return redtag.red_tag(t, "cultures", ORDER, DAYS, NOW)
 
@@ -868,8 +869,8 @@ def _(t):
 def _sections_sql() -> str:
     """The four section queries one below the other, measures of other sections NULL."""
     parts = []
-    for section, measures_ in redtag.SECTIONS.items():
-        shown = ", ".join(f'"{m}"' if m in measures_ else f'NULL AS "{m}"' for m in redtag.MEASURES)
+    for section, measures_ in L.SECTIONS.items():
+        shown = ", ".join(f'"{m}"' if m in measures_ else f'NULL AS "{m}"' for m in L.RED_TAG_MEASURES)
         number = 'NULL AS "CkrNumber"' if section == "all" else '"CkrNumber"'
         parts.append(f"""SELECT '{section}' AS section, "Barcode", {number}, "ChrNumber", "ProducerCode",
           "Tank", "Seq", "SamplingTime", "Client Name", {shown} FROM samples WHERE {_RED_TAG_WHERE[section]}""")
@@ -878,10 +879,10 @@ def _sections_sql() -> str:
 
 _RED_TAG_WHERE = {
     "all": "TRUE",
-    "components": " AND ".join(f'"{m}" IS NOT NULL' for m in R.COMPONENT_MEASURES),
-    "bacteria": " OR ".join(f'"{m}" IS NOT NULL' for m in R.BACTERIA_MEASURES),
-    "cultures": " OR ".join(f'"{m}" IS NOT NULL' for m in R.CULTURE_MEASURES if m != redtag.DOUBTFUL)
-    + f' OR length(rtrim("{redtag.DOUBTFUL}")) > 0',
+    "components": " AND ".join(f'"{m}" IS NOT NULL' for m in L.COMPONENT_MEASURES),
+    "bacteria": " OR ".join(f'"{m}" IS NOT NULL' for m in L.BACTERIA_MEASURES),
+    "cultures": " OR ".join(f'"{m}" IS NOT NULL' for m in L.CULTURE_MEASURES if m != L.DOUBTFUL)
+    + f' OR length(rtrim("{L.DOUBTFUL}")) > 0',
 }
 
 
@@ -889,7 +890,7 @@ _RED_TAG_WHERE = {
       SELECT bar_code AS "Barcode", max(ckr_number) AS "CkrNumber", max(chr_number) AS "ChrNumber",
         max(producer_code) AS "ProducerCode", max(tank) AS "Tank", max(seq) AS "Seq",
         {DAY.format("max(sampling_date)", '"SamplingTime"')}, max(client_name) AS "Client Name",
-        {measures(redtag.MEASURES, CODED)}
+        {measures(L.RED_TAG_MEASURES, CODED)}
       FROM rr JOIN recent USING (line_id) JOIN ctx USING (line_id)
       WHERE order_code = 'CO-7' GROUP BY bar_code
     )"""))
@@ -924,10 +925,10 @@ def _quoted(labels) -> str:
 
 _COMPONENTS = (
     f"""SELECT producer_code AS producercode, tank AS "Tank", mid_seq AS seq, bar_code AS "BarCode",
-      visit_number AS "VisitNumber", sampling_time AS "SamplingTime", {_quoted(R.COMPONENT_MEASURES)}
-    FROM final WHERE {_PRESENT} AND {" AND ".join(f'"{m}" IS NOT NULL' for m in R.COMPONENT_MEASURES)}""",
+      visit_number AS "VisitNumber", sampling_time AS "SamplingTime", {_quoted(L.COMPONENT_MEASURES)}
+    FROM final WHERE {_PRESENT} AND {" AND ".join(f'"{m}" IS NOT NULL' for m in L.COMPONENT_MEASURES)}""",
     _MAPPED,
-    _mapped_pivot(R.COMPONENT_MEASURES,
+    _mapped_pivot(L.COMPONENT_MEASURES,
                   "producer_code, tank, mid_seq, bar_code, visit_number, sampling_time"),
 )
 
@@ -963,7 +964,7 @@ _INSPECTOR = (
     FROM final WHERE {_PRESENT} AND "Somatic cells" IS NOT NULL AND "Freezing point" IS NOT NULL""",
     _MAPPED,
     _mapped_pivot(
-        R.INSPECTOR_MEASURES,
+        L.INSPECTOR_MEASURES,
         "producer_code, state, producer_name, state_rep, tank, mid_seq, bar_code, visit_number,"
         " sampling_time", _CODED_NF, _IN_IOWA),
 )
@@ -984,10 +985,10 @@ def _(t):
 @query("inspector_wide", lab(
     f"""SELECT producer_code AS producercode, state AS "State", state_rep AS "StateRep",
       tank AS "Tank", mid_seq AS seq, bar_code AS "BarCode", visit_number AS "VisitNumber",
-      sampling_time AS "SamplingTime", {_quoted(R.INSPECTOR_WIDE_MEASURES)} FROM final""",
+      sampling_time AS "SamplingTime", {_quoted(L.INSPECTOR_WIDE_MEASURES)} FROM final""",
     _MAPPED,
     _mapped_pivot(
-        R.INSPECTOR_WIDE_MEASURES,
+        L.INSPECTOR_WIDE_MEASURES,
         "producer_code, state, state_rep, tank, mid_seq, bar_code, visit_number, sampling_time",
         _CODED_NF, _IN_IOWA)))
 def _(t):
@@ -1004,11 +1005,11 @@ def _(t):
 _DAIRY = (
     f"""SELECT producer_code AS producercode, tank AS "Tank", mid_seq AS seq, bar_code AS "BarCode",
       route_number AS "RouteNumber", {DAY.format("taken", '"SamplingTime"')}, ihb AS "IHB",
-      official AS "Official", {_quoted(R.FEED_MEASURES)}
+      official AS "Official", {_quoted(L.FEED_MEASURES)}
     FROM final WHERE {_PRESENT.replace("sampling_time", "taken")}""",
     _MAPPED,
     _mapped_pivot(
-        R.FEED_MEASURES,
+        L.FEED_MEASURES,
         "producer_code, tank, mid_seq, bar_code, route_number, CAST(sampling_time AS DATE) AS taken,"
         f" {_inhibitor_sql('NF', 'AL', 'NT', True)} AS ihb,"
         " CASE WHEN item = 'MVPQVP8' THEN 'Y' ELSE 'N' END AS official"),
@@ -1051,7 +1052,7 @@ _GOAT = _feed(
       tested AS "CompTestDate", '0' AS "Fixed4" """,
     f"""{_inhibitor_sql('NF', 'AL', 'NT', False)} AS ihb, {_inhibitor_sql('2', '1', '0', False)} AS anti_flag,
       CASE WHEN item = 'MVPQVP8' THEN '99' END AS official, {_TESTED} AS tested""",
-    R.FEED_MEASURES, ["Somatic cells", "Freezing point"])
+    L.FEED_MEASURES, ["Somatic cells", "Freezing point"])
 
 
 @query("goat_feed", lab(*_GOAT))
@@ -1095,7 +1096,7 @@ _MN_SELECT = """producer_code AS "ProducerCode", sampling_time AS "SamplingTime"
       '00' AS "ST#", '000' AS "Plant BTU#", '00000' AS "FIXED(5)", '0' AS "Fixed(1)",
       tested AS "SccTestDate", tested AS "SpcTestDate", '000000' AS "FIXED(6)",
       '00000000' AS "FIXED(8)", coalesce(grade, '0') AS "MilkGrade" """
-_MN = _feed(_MN_SELECT, _MN_KEYS, R.COUNT_MEASURES, ["Somatic cells"])
+_MN = _feed(_MN_SELECT, _MN_KEYS, L.COUNT_MEASURES, ["Somatic cells"])
 
 
 @query("minnesota_feed", lab(*_MN))
@@ -1116,7 +1117,7 @@ _MN_DEPLOYED = _feed(
     _MN_SELECT.replace('tested AS "SccTestDate", tested AS "SpcTestDate"',
                        '\'00000000\' AS "ESCC Date", \'00000000\' AS "PLC Date"')
     .replace('"MilkGrade"', '"Grade"'),
-    _MN_KEYS.replace(f"{_TESTED} AS tested,", ""), [*R.COUNT_MEASURES, "Freezing point"],
+    _MN_KEYS.replace(f"{_TESTED} AS tested,", ""), [*L.COUNT_MEASURES, "Freezing point"],
     ["Somatic cells", "Freezing point"])
 
 
@@ -1129,7 +1130,7 @@ def _(t):
 
 
 @query("minnesota_feed_with_freezing_point", lab(*_feed(
-    _MN_SELECT, _MN_KEYS, [*R.COUNT_MEASURES, "Freezing point"],
+    _MN_SELECT, _MN_KEYS, [*L.COUNT_MEASURES, "Freezing point"],
     ["Somatic cells", "Freezing point"])))
 def _(t):
     return feeds.minnesota_feed(t, DAYS, NOW, need_freezing_point=True)
@@ -1152,7 +1153,7 @@ def _wisconsin_sql(scc: str, spc: str) -> tuple[str, ...]:
       'ELECTRONIC' AS "Fixed10" """,
         f"""route_number, state, producer_name, state_rep, grade, {scc} AS scc, {spc} AS spc,
       CASE WHEN item = 'MVPQVP8' AND param = 'Z001JJPC' THEN '2' ELSE '0' END AS anti_flag""",
-        R.COUNT_MEASURES, ["Somatic cells"])
+        L.COUNT_MEASURES, ["Somatic cells"])
 
 
 _WI = _wisconsin_sql(_TESTED, _TESTED)
@@ -1190,7 +1191,7 @@ _TN = _feed(
       route_number AS "Route", '' AS "Load" """,
     f"""route_number, state, producer_name, state_rep, grade,
       {_inhibitor_sql('NF', 'AL', 'NT', False)} AS ihb""",
-    R.FEED_MEASURES, ["Somatic cells", "Freezing point"])
+    L.FEED_MEASURES, ["Somatic cells", "Freezing point"])
 
 
 @query("tennessee_feed", lab(*_TN))
@@ -1222,7 +1223,7 @@ def _(t):
 # --- reports: legacy official --------------------------------------------------------------------
 
 def _legacy_sql(lab_copy: bool) -> str:
-    labels = R.OFFICIAL_MEASURES if lab_copy else R.LEGACY_MEASURES
+    labels = L.OFFICIAL_MEASURES if lab_copy else L.LEGACY_MEASURES
     by = "region" if lab_copy else "state"
     keys = ["producer_name", "permit_number", "field_rep", "state_rep", "sample_temp", "parcel_temp",
             "client_name", "state"] + (["region"] if lab_copy else [])
@@ -1233,10 +1234,10 @@ def _legacy_sql(lab_copy: bool) -> str:
     columns = [*zip(keys, names), *zip(extra, extra)]
     usable = f"""usable AS (SELECT * FROM piv WHERE is_official = 'Y' AND length(rtrim(mid_seq)) > 0
       AND bar_code IS NOT NULL AND sampling_date IS NOT NULL
-      AND {" AND ".join(f'"{m}" IS NOT NULL' for m in R.LEGACY_MEASURES)})"""
+      AND {" AND ".join(f'"{m}" IS NOT NULL' for m in L.LEGACY_MEASURES)})"""
     pivot = f"""piv AS (
       SELECT producer_code, tank, mid_seq, bar_code, sampling_date, {", ".join(keys)},
-        {official(R.RED_TAG_TESTS)} AS is_official, {measures(labels, CODED)}
+        {official(L.RED_TAG_TESTS)} AS is_official, {measures(labels, CODED)}
       FROM rr JOIN exact USING (line_id) JOIN ctx USING (line_id)
       WHERE tank IS NOT NULL AND sampling_time IS NOT NULL GROUP BY ALL)"""
     parts = f"""parts AS (

@@ -2,7 +2,61 @@
 
 import re
 
-from creamline.sources.retail import COUNTS, HUNDREDTHS, ITEMS, PARAMETERS, STATES
+from creamline.sources.retail import COUNTS, HUNDREDTHS, ITEMS, PARAMETERS, STATES, TESTS
+
+
+class Lists:
+    """The lists of the reports once more, so that a wrong one shows in the comparison."""
+
+    OFFICIAL_REPORT_TESTS = (
+        "MVPQVP1", "MVPQVP2", "MVPQVP6", "MVPQVP8b", "MVPQVPG", "MVPQVPB", "MVQVP52A", "MVPQVP8",
+        "MVQVP52B", "MVQVP41",
+    )
+    ALERT_TESTS = (
+        "MVPQVP1", "MVPQVP2", "MVPQVP6", "MVPQVP8b", "MVPQVPG", "MVPQVPB", "MVQVP52A", "MVPQVP8",
+        "MVQVP52B",
+    )
+    RED_TAG_TESTS = (
+        "MVPQVP1", "MVPQVP2", "MVPQVP6", "MVPQVP8b", "MVPQVP9", "MVPQVPAb", "MVPQVPG", "MVPQVPB",
+        "MVQVP52A",
+    )
+    OFFICIAL_MEASURES = (
+        "Bacteria Count", "Delvo Inhibitor", "Somatic cells", "Freezing point", "Analysis Temperature",
+    )
+    LEGACY_MEASURES = ("Bacteria Count", "Delvo Inhibitor", "Somatic cells", "Freezing point")
+    COMPONENT_MEASURES = (
+        "Fat", "Freezing point", "Lactose", "Milk Urea Nitrogen (MUN)", "Other Solids",
+        "Solids not fat (SNF)", "Somatic cells", "True Protein",
+    )
+    BACTERIA_MEASURES = (
+        "Bacteria Count", "Bacteria Count(PI)", "Coliforms", "Delvo Inhibitor", "Pregnancy",
+        "Thermoduric Plate Count", "Alkylphenolethoxylates",
+    )
+    CULTURE_MEASURES = (
+        "Alkylphenolethoxylates", "Gram negative Bacteria", "Staphylococcus aureus",
+        "Staphylococcus species", "Streptococci agalactiae", "Streptococcus species",
+        "Prototheca species", "Mycoplasma species", "Bulk Tank Coliforms",
+    )
+    INSPECTOR_MEASURES = ("Bacteria", "Delvo Inhibitor", "Somatic cells", "Freezing point")
+    INSPECTOR_WIDE_MEASURES = (
+        "Bacteria", "Delvo Inhibitor", "Fat", "Freezing point", "Lactose", "Milk Urea Nitrogen (MUN)",
+        "Other Solids", "Solids not fat (SNF)", "Somatic cells", "True Protein",
+        "Pre-incubation Count (PI)",
+    )
+    FEED_MEASURES = (
+        "Fat", "Freezing point", "Lactose", "Milk Urea Nitrogen (MUN)", "Other Solids",
+        "Solids not fat (SNF)", "Somatic cells", "True Protein", "Bacteria",
+        "Pre-incubation Count (PI)", "Coliforms", "Lab Pasteurized Count",
+    )
+    COUNT_MEASURES = ("Bacteria", "Somatic cells")
+    DOUBTFUL = "Prototheca species"
+    RED_TAG_MEASURES = tuple(dict.fromkeys([*COMPONENT_MEASURES, *BACTERIA_MEASURES, *CULTURE_MEASURES]))
+    SECTIONS = {
+        "all": tuple(dict.fromkeys([*COMPONENT_MEASURES, *BACTERIA_MEASURES, *CULTURE_MEASURES[:-1]])),
+        "components": COMPONENT_MEASURES,
+        "bacteria": BACTERIA_MEASURES,
+        "cultures": CULTURE_MEASURES,
+    }
 
 
 def _values(rows) -> str:
@@ -22,6 +76,7 @@ _MAP = _values(
     for n, p in enumerate(PARAMETERS)
     if (i + n) % 6
 )
+_TESTS = repr(list(TESTS))
 _AMOUNT = "CAST(l_quantity * 30 + n * 7 AS INT)"
 
 CTES = {
@@ -34,8 +89,8 @@ CTES = {
         l_shipdate + to_hours(CAST(l_suppkey % 24 AS INT)) AS validated,
         CASE WHEN l_partkey % 4 <> 0
           THEN l_shipdate + to_hours(CAST(l_suppkey % 24 AS INT)) - INTERVAL 1 DAY END AS measured,
-        CASE l_returnflag WHEN 'A' THEN 'MVPQVP1' WHEN 'N' THEN 'MVQVP52A' ELSE 'MVPQVPX' END
-          AS test_code,
+        CASE l_returnflag WHEN 'A' THEN 'MVPQVP1'
+          WHEN 'N' THEN {_TESTS}[CAST(l_suppkey % {len(TESTS)} AS INT) + 1] ELSE 'MVPQVPX' END AS test_code,
         par.code AS param, par.name AS name,
         CASE WHEN n = 1 THEN CASE l_suppkey % 7 WHEN 1 THEN 'Positive' WHEN 2 THEN 'Not Found'
             ELSE 'NOT FOUND' END
@@ -48,7 +103,8 @@ CTES = {
           ELSE CAST({_AMOUNT} AS VARCHAR) END AS value,
         l_suppkey AS set_no
       FROM lineitem CROSS JOIN par
-      WHERE CASE WHEN n < 12 THEN (l_partkey + 3 * n) % 5 <> 0 ELSE (l_partkey + 3 * n) % 5 = 1 END
+      WHERE CASE WHEN n < 12 THEN (l_partkey + 3 * n) % 5 <> 0 WHEN n < 16 THEN (l_partkey + 3 * n) % 5 = 1
+        ELSE (l_partkey + 3 * n) % 20 = 1 END
     )""",
     "lines": """lines AS (
       SELECT DISTINCT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS sample_id,

@@ -30,8 +30,23 @@ PARAMETERS = {  # code to name; the position is the number used by the rules bel
     "P013": "Gram negative Bacteria",
     "P014": "Prototheca species",
     "P015": "Pre-incubation Count (PI)",
+    "P016": "Bacteria Count(PI)",
+    "P017": "Pregnancy",
+    "P018": "Thermoduric Plate Count",
+    "P019": "Alkylphenolethoxylates",
+    "P020": "Staphylococcus aureus",
+    "P021": "Staphylococcus species",
+    "P022": "Streptococci agalactiae",
+    "P023": "Streptococcus species",
+    "P024": "Mycoplasma species",
+    "P025": "Bulk Tank Coliforms",
+    "P026": "Lab Pasteurized Count",
 }
-COMMON = 12  # the first twelve parameters are measured often, the others rarely
+COMMON, RARE = 12, 16  # parameters before the first are measured often, those from the second rarely
+TESTS = (
+    "MVQVP52A", "MVPQVP2", "MVPQVP6", "MVPQVP8b", "MVPQVP9", "MVPQVPAb", "MVPQVPG", "MVPQVPB",
+    "MVPQVP8", "MVQVP52B", "MVQVP41",
+)
 COUNTS = (0, 2, 12)  # some of these counts cannot be read as numbers
 HUNDREDTHS = (5, 6, 8, 9, 10, 11)
 ITEMS = ("MVPQVP1", "MVPQVP2", "MVPQVP8", "MVPQVPG", "EXTRA5", "EXTRA6", "EXTRA7")
@@ -118,8 +133,10 @@ def lab_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _results(lineitem: DataFrame) -> DataFrame:
     n = F.col("n")
     mixed = (F.col("l_partkey") + 3 * n) % 5
-    measured = lineitem.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(15)))).filter(
-        F.when(n < COMMON, mixed != 0).otherwise(mixed == 1)
+    measured = lineitem.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(len(PARAMETERS) - 1)))).filter(
+        F.when(n < COMMON, mixed != 0)
+        .when(n < RARE, mixed == 1)
+        .otherwise((F.col("l_partkey") + 3 * n) % 20 == 1)
     )
     amount = (F.col("l_quantity") * 30 + n * 7).cast("int")
     outcome = (
@@ -147,7 +164,7 @@ def _results(lineitem: DataFrame) -> DataFrame:
             "result_measured_time"
         ),
         F.when(F.col("l_returnflag") == "A", "MVPQVP1")
-        .when(F.col("l_returnflag") == "N", "MVQVP52A")
+        .when(F.col("l_returnflag") == "N", _pick(TESTS, F.col("l_suppkey") % len(TESTS) + 1))
         .otherwise("MVPQVPX")
         .alias("commercial_test_code"),
         _pick(tuple(PARAMETERS), n + 1).alias("commercial_parameter_code"),
