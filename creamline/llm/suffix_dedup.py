@@ -222,7 +222,8 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     """key, doc_id, text and stretches: the byte stretches (low, high) of each row that lie in repeated windows, unmerged."""
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     found = all_anchors(keyed)
-    often = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # stored, so that the join below meets two plain shuffles and a hot gram's rows can be split over tasks
+    often = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"))
     again = stored(found.join(often, "gram", "left_semi").withColumn("shape", F.col("place").bitwiseAND(_SHAPE)))
     same = ["gram", "region", "shape"]
     regions = again.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one"))
