@@ -14,7 +14,8 @@ Every string of WINDOW bytes that starts anywhere a second time, in the same doc
    neighbours. As windows never match across columns, each column's ranks and prefixes are held alone, not merged
    into one index: the state is two numbers a string. A window is repeated where a neighbour shares WINDOW bytes.
    Strings reach a task as a sorted stream and are worked on in groups of whole grams; the columns of a stream
-   piece are the only state.
+   piece are the only state. A gram with more than MOST_REGIONS different regions is not gathered: its windows
+   are counted by hash instead, with the same result.
 4. Repeated stretches return to their documents, are merged and cut out.
 
 Texts are shuffled once, by document, and read from there both for regions and for the result.
@@ -42,20 +43,21 @@ WINDOW, GRAM = 200, 64
 AHEAD = WINDOW - GRAM
 #: Strings that one construction takes on together, unless one gram has more.
 PIECE = 8192
-_BASE = 0x9E3779B97F4A7C15
+#: A gram with more different regions than this is not built in one task; see crowded().
+MOST_REGIONS = 50_000
+_BASE, _OTHER = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _BLOCK = 1 << 18
 _LOW = np.uint64((1 << 24) - 1)
 #: place = anchor << 17 | bytes of the region ahead of the anchor << 9 | bytes of the region
 _SHAPE = (1 << 17) - 1
 
 
-@lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, for a block and its margins."""
-    n = _BLOCK + 4 * WINDOW
-    inverse = pow(_BASE, -1, 1 << 64)
+@lru_cache(maxsize=4)
+def _powers(base: int = _BASE, n: int = _BLOCK + 4 * WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, by default for a block and its margins."""
+    inverse = pow(base, -1, 1 << 64)
     with np.errstate(over="ignore"):
-        return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n, b, np.uint64)], dtype=np.uint64) for b in (_BASE, inverse))
+        return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n, b, np.uint64)], dtype=np.uint64) for b in (base, inverse))
 
 
 def _mixed(code: np.ndarray) -> np.ndarray:
@@ -190,6 +192,36 @@ def collections(strings: DataFrame) -> DataFrame:
     return map_batches(placed, run, "gram long, region long, shape long, low long, high long")
 
 
+def crowded(strings: DataFrame) -> DataFrame:
+    """As collections(), for grams with too many regions for one task.
+
+    Each window of each region becomes a row with its offset and a hash of 128 bits; equal ones are counted,
+    combined before the shuffle, and those found more than once are joined back.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("gram", "region", "shape", "n", "column", "h1", "h2")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                line = np.frombuffer(row["bytes"], np.uint8).astype(np.uint64) + np.uint64(1)
+                m, hashes = len(line) - WINDOW + 1, []
+                for base in (_BASE, _OTHER):
+                    power, inverse = _powers(base, 2 * WINDOW)
+                    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(line * power[: len(line)], dtype=np.uint64)])
+                    hashes.append(_mixed((running[WINDOW:] - running[:-WINDOW]) * inverse[:m]).view(np.int64))
+                same = [np.full(m, row[c], np.int64) for c in ("gram", "region", "shape", "n")]
+                columns = AHEAD - (row["shape"] >> 9) + np.arange(m)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, columns, *hashes)], schema=schema)
+
+    windows = map_batches(strings, run, "gram long, region long, shape long, n long, column long, h1 long, h2 long")
+    window = ["gram", "column", "h1", "h2"]
+    twice = windows.groupBy(*window).agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
+    return (
+        windows.filter("n = 1").join(twice, window, "left_semi").groupBy("gram", "region", "shape")
+        .agg((F.min("column") - AHEAD).alias("low"), (F.max("column") - AHEAD + WINDOW).alias("high"))
+    )
+
+
 def _regions(texts: DataFrame) -> DataFrame:
     """The bytes of the wanted regions of each text."""
     schema = pa.schema([("gram", pa.int64()), ("region", pa.int64()), ("shape", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary())])
@@ -227,14 +259,18 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     again = stored(found.join(often, "gram", "left_semi").withColumn("shape", F.col("place").bitwiseAND(_SHAPE)))
     same = ["gram", "region", "shape"]
     regions = again.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one"))
-    several = regions.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("gram")
+    several = stored(regions.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
     wanted = (
-        regions.join(several, "gram", "left_semi").groupBy(F.col("one.key").alias("key"))
+        regions.join(several.select("gram"), "gram", "left_semi").groupBy(F.col("one.key").alias("key"))
         .agg(F.collect_list(F.struct("gram", "region", F.col("one.place").alias("place"), "n")).alias("wanted"))
     )
     # rows that repeat id and text give the same strings: once is enough
     strings = _regions(keyed.join(wanted, "key")).dropDuplicates(same)
-    part = collections(strings)
+    many = several.filter(F.col("kinds") > MOST_REGIONS).select("gram")
+    if many.isEmpty():
+        part = collections(strings)
+    else:
+        part = collections(strings.join(many, "gram", "left_anti")).unionAll(crowded(strings.join(many, "gram", "left_semi")))
     left = F.shiftright(F.col("shape"), 9)
     whole = regions.filter("n > 1").select(*same, (-left).alias("low"), (F.col("shape").bitwiseAND(511) - left).alias("high"))
     at = F.shiftright(F.col("place"), 17)

@@ -134,9 +134,10 @@ def repeat_rows():
     return [(1000 + i, t, "en", "s", 1) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("piece", [8192, 2])
-def test_repeats_are_cut_as_by_hand(spark, monkeypatch, piece):
+@pytest.mark.parametrize(("piece", "most"), [(8192, 50_000), (2, 3)])
+def test_repeats_are_cut_as_by_hand(spark, monkeypatch, piece, most):
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup, "MOST_REGIONS", most)
     rows = [*awkward(), *repeat_rows()]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(frame, digest=True).collect())
