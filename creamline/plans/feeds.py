@@ -72,7 +72,7 @@ def feed_rows(
     lines = mapped_lines(tables, window, rules, rules.feed_state)
     columns = ["producer_code", "tank", seq_middle(F.col("bar_code")).alias("seq"), "bar_code",
                "visit_number", "sampling_time", *shown]
-    rows = sheet_rows(tables, window, lines, measures, columns, flags, F.col(_VALUE), only=measures)
+    rows = sheet_rows(tables, window, rules, lines, measures, columns, flags, F.col(_VALUE), only=measures)
     if late:
         rows = rows.withColumns(late).drop(_ITEM, _INHIBITOR)
     return require_columns(merge_pivoted(rows, measures), [*KEYS, *needed], filled=["seq"])

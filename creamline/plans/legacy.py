@@ -25,6 +25,7 @@ from creamline.plans.rules import (
 from creamline.plans.steps import (
     IDENTIFIED,
     finished_lines,
+    line_ids,
     measured_lines,
     results_until,
     with_technician,
@@ -39,10 +40,12 @@ def _lines(tables: Tables, days: float, now: datetime | None, rules: LabRules):
     return window, require_columns(finished_lines(tables, window, rules), IDENTIFIED)
 
 
-def legacy_pivot(tables: Tables, window, lines: DataFrame, lab_copy: bool) -> DataFrame:
+def legacy_pivot(
+    tables: Tables, window, lines: DataFrame, lab_copy: bool, rules: LabRules = DEFAULT_RULES
+) -> DataFrame:
     labels = OFFICIAL_MEASURES if lab_copy else LEGACY_MEASURES
     results = results_until(tables["reportable_result"], window)
-    measured = measured_lines(tables, results, lines, labels, RED_TAG_TESTS, {})
+    measured = measured_lines(tables, results, line_ids(lines, rules), labels, RED_TAG_TESTS, {})
     unused = ["billing_week", "order_line_status", "btu_number", *([] if lab_copy else ["region"])]
     samples = sample_columns(lines, "state").withColumn("seq", seq_middle(F.col("bar_code")))
     rows = enrich_results(measured, samples.drop(*unused))
@@ -69,7 +72,7 @@ def legacy_official(
         lines = slice_by(lines, slice_kind, slice_value, tables)
     elif slice_kind and slice_kind.lower() in ("field rep", "state rep"):
         lines = optional_filters(lines, **{slice_kind.lower().replace(" ", "_"): slice_value})
-    pivoted = legacy_pivot(tables, window, lines, lab_copy)
+    pivoted = legacy_pivot(tables, window, lines, lab_copy, rules)
     averaged_by = "region" if lab_copy else "state"
     usable = require_columns(pivoted, _COMPLETE, filled=["seq"]).filter(
         F.col("is_official") == "Y"

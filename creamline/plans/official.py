@@ -25,7 +25,7 @@ from creamline.plans.rules import (
     OFFICIAL_REPORT_TESTS,
     LabRules,
 )
-from creamline.plans.steps import IDENTIFIED, measured_lines, with_technician
+from creamline.plans.steps import IDENTIFIED, line_ids, measured_lines, with_technician
 
 AVERAGED = ("Bacteria Count", "Somatic cells", "Freezing point")
 
@@ -101,7 +101,7 @@ def official_pivot(
     lines = require_columns(enrich_lines(lines, tables), IDENTIFIED)
     lines = slice_by(lines, slice_kind, slice_value, tables)
     measured = measured_lines(
-        tables, tables["reportable_result"], lines, OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
+        tables, tables["reportable_result"], line_ids(lines, rules), OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
         {"result_validation_date": F.col("result_validation_date")},
     )
     rows = enrich_results(measured, sample_columns(lines, "commercial_item"))

@@ -29,7 +29,7 @@ from creamline.plans.rules import (
     RED_TAG_TESTS,
     LabRules,
 )
-from creamline.plans.steps import measured_lines, results_until
+from creamline.plans.steps import line_ids, measured_lines, results_until
 from creamline.sources.tables import parse_key_list
 
 MEASURES = tuple(dict.fromkeys([*COMPONENT_MEASURES, *BACTERIA_MEASURES, *CULTURE_MEASURES]))
@@ -70,11 +70,12 @@ def red_tag_samples(
     )
     keys = parse_key_list(lines.sparkSession, bar_codes)
     lines = restrict_to_keys(lines.filter(wanted), keys, "bar_code")
-    results = of_lines(tables["reportable_result"], lines)
+    ids = line_ids(lines, rules)
+    results = of_lines(tables["reportable_result"], ids)
     finished = completions(results, window).withColumnRenamed("id", "commercial_order_line_id")
     lines = lines.join(finished, "commercial_order_line_id")
     measured = measured_lines(
-        tables, results_until(tables["reportable_result"], window), lines, MEASURES, RED_TAG_TESTS, {}
+        tables, results_until(tables["reportable_result"], window), ids, MEASURES, RED_TAG_TESTS, {}
     )
     samples = lines.select(
         "commercial_order_line_id",

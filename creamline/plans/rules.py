@@ -60,7 +60,10 @@ ALERT_LIMITS = {"Bacteria Count": 750, "Somatic Cells": 1000}
 class LabRules:
     """What a laboratory may want to change about the reports.
 
-    ``lab_code`` is the laboratory's own short name, which goes into the goat client's record.
+    ``lab_code`` is the laboratory's own short name, which goes into the goat client's record. With a
+    shared folder as ``store`` the ids of a report's lines are written there and read back first: Spark
+    then knows how few they are and cuts the results where they are scanned. Without it their size is
+    known only after both sides of the join have been shuffled.
     """
 
     status: str = "Completed"
@@ -71,6 +74,7 @@ class LabRules:
     feed_state: str | None = "IA"
     lab_code: str = "LAB"
     strict_numbers: bool = False
+    store: str | None = None
 
 
 DEFAULT_RULES = LabRules()

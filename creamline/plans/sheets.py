@@ -58,7 +58,7 @@ def components_report(
     window = days_from_now(days, now)
     lines = mapped_lines(tables, window, rules, required=())
     rows = sheet_rows(
-        tables, window, lines, COMPONENT_MEASURES,
+        tables, window, rules, lines, COMPONENT_MEASURES,
         ["producer_code", "tank", seq_middle(F.col("bar_code")).alias("seq"), "bar_code",
          "visit_number", "sampling_time"],
         {}, F.col(_VALUE), only=COMPONENT_MEASURES,
@@ -79,7 +79,7 @@ def _inspector_rows(
     shown = ["producer_code", "state", *extra, "state_rep", "tank",
              seq_middle(F.col("bar_code")).alias("seq"), "bar_code", "visit_number", "sampling_time"]
     value = code_results(F.col(_VALUE), positives=False)
-    return merge_pivoted(sheet_rows(tables, window, lines, labels, shown, {}, value, only), labels)
+    return merge_pivoted(sheet_rows(tables, window, rules, lines, labels, shown, {}, value, only), labels)
 
 
 def inspector_report(
@@ -110,7 +110,7 @@ def inspector_count(
     """How many samples :func:`inspector_wide` is about."""
     window = days_from_now(days, now)
     lines = mapped_lines(tables, window, rules, rules.feed_state, IDENTIFIED)
-    measured = mapped_results(tables, window, lines).select("commercial_order_line_id").distinct()
+    measured = mapped_results(tables, window, lines, rules).select("commercial_order_line_id").distinct()
     return count_tests(lines.join(measured, "commercial_order_line_id", "left_semi"))
 
 
@@ -122,7 +122,7 @@ def dairy_sheet(
     lines = mapped_lines(tables, window, rules, required=())
     value, parameter = F.col(_VALUE), F.col("commercial_parameter_code")
     rows = sheet_rows(
-        tables, window, lines, FEED_MEASURES,
+        tables, window, rules, lines, FEED_MEASURES,
         ["producer_code", "tank", seq_middle(F.col("bar_code")).alias("seq"), "bar_code",
          "route_number", F.col("sampling_time").cast("date").alias("sampling_time"),
          official_by_item(F.col("commercial_item"), "Y", "N").alias("Official")],

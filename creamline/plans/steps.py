@@ -24,6 +24,7 @@ from creamline.operators.joins import (
 from creamline.operators.layout import with_text_null
 from creamline.operators.pivots import pivot_by_line
 from creamline.plans.rules import LabRules
+from creamline.sources.sinks import kept
 
 IDENTIFIED = ("producer_code", "tank", "sampling_time")
 
@@ -42,18 +43,23 @@ def results_until(results: DataFrame, window: ReportWindow) -> DataFrame:
     return results.filter(window.before_end(stamp) | stamp.isNull())
 
 
+def line_ids(lines: DataFrame, rules: LabRules) -> DataFrame:
+    """The ids of a report's lines, of known size where the rules name a store."""
+    return kept(lines.select("commercial_order_line_id"), rules.store)
+
+
 def measured_lines(
     tables: Tables,
     results: DataFrame,
-    lines: DataFrame,
+    ids: DataFrame,
     labels: Sequence[str],
     official_tests: Sequence[str],
     keys: Mapping[str, Column],
 ) -> DataFrame:
-    """Coded results of the lines, pivoted per order line, official flag and ``keys``."""
+    """Coded results of the lines with these ids, pivoted per order line, official flag and ``keys``."""
     official = flag_official(F.col("commercial_test_code"), official_tests)
     return pivot_by_line(
-        of_lines(results, lines), tables["test_parameter"], labels,
+        of_lines(results, ids), tables["test_parameter"], labels,
         code_results(F.col("aggregated_value")), {"is_official": official, **keys},
     )
 
@@ -73,7 +79,11 @@ def mapped_lines(
 
 
 def mapped_results(
-    tables: Tables, window: ReportWindow, lines: DataFrame, only: Sequence[str] | None = None
+    tables: Tables,
+    window: ReportWindow,
+    lines: DataFrame,
+    rules: LabRules,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Results of the lines for known parameters that are mapped to the line's item.
 
@@ -89,13 +99,14 @@ def mapped_results(
     pairs = mapped_pairs(tables).join(known, "commercial_parameter_code", "left_semi").distinct()
     counted = lines.select("commercial_order_line_id", "commercial_item").join(pairs, "commercial_item")
     return results_until(tables["reportable_result"], window).join(
-        counted, ["commercial_order_line_id", "commercial_parameter_code"], "left_semi"
+        kept(counted, rules.store), ["commercial_order_line_id", "commercial_parameter_code"], "left_semi"
     )
 
 
 def sheet_rows(
     tables: Tables,
     window: ReportWindow,
+    rules: LabRules,
     lines: DataFrame,
     labels: Sequence[str],
     shown: Sequence[str | Column],
@@ -107,7 +118,7 @@ def sheet_rows(
 
     ``shown`` are columns of the lines, ``flags`` columns of a result that keep rows apart.
     """
-    results = mapped_results(tables, window, lines, only)
+    results = mapped_results(tables, window, lines, rules, only)
     measured = pivot_by_line(results, tables["test_parameter"], labels, value, flags)
     return enrich_results(measured, lines.select("commercial_order_line_id", *shown)).drop(
         "commercial_order_line_id"

@@ -13,6 +13,7 @@ from creamline.plans.rules import LabRules
 from creamline.schemas import SCHEMAS
 from creamline.functions.dates import between_dates
 from creamline.operators.completion import completed_in_window
+from creamline.sources.retail import lab_tables
 from creamline.sources.sinks import save_bucketed, write_report
 from creamline.sources.tables import load_tables, with_bucketed
 
@@ -206,3 +207,63 @@ def test_bucketed_results_are_not_shuffled(spark, lab, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     rows = official.official_report(stored, FIRST, LAST, mode="raw").collect()
     assert rows == official.official_report(lab, FIRST, LAST, mode="raw").collect()
+
+
+def shuffled_bytes(spark) -> int:
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+
+def test_shuffles_follow_the_window_and_not_the_history(spark, tmp_path):
+    """Six times the history, the same few days: what a report shuffles stays about the same."""
+    source = lab_tables(spark, SF.replace("sf0.001", "sf0.01"))
+    tables = {name: source[name] for name in SCHEMAS}
+    facts = tables["reportable_result"]
+    older = [
+        facts.withColumn("commercial_order_line_id", F.col("commercial_order_line_id") + k * 10**9)
+        .withColumn("result_validation_date", F.expr(f"result_validation_date - INTERVAL {8 * k} YEARS"))
+        for k in range(1, 6)
+    ]
+    long = facts
+    for part in older:
+        long = long.unionAll(part)
+    now, rules, moved, rows = datetime(1996, 6, 10, 12), LabRules(feed_state=None, store=str(tmp_path)), [], []
+    for history in (facts, long):
+        before = shuffled_bytes(spark)
+        sheet = sheets.inspector_wide(tables | {"reportable_result": history}, 7, now, rules)
+        rows.append(sorted(map(str, sheet.collect())))
+        moved.append(shuffled_bytes(spark) - before)
+    assert rows[0] == rows[1] and rows[0]
+    assert moved[1] < 1.3 * moved[0]
+
+
+def test_same_rows_with_and_without_a_store(spark, lab, tmp_path):
+    stored = LabRules(store=str(tmp_path))
+    for build in (
+        lambda rules: official.official_report(lab, FIRST, LAST, mode="raw", rules=rules),
+        lambda rules: redtag.red_tag(lab, "all", "CO18-08-1", 30, NOW, rules=rules),
+        lambda rules: sheets.dairy_sheet(lab, 30, NOW, rules),
+    ):
+        rows = [sorted(map(str, build(rules).collect())) for rules in (LabRules(), stored)]
+        assert rows[0] == rows[1] and rows[0]
+
+
+@pytest.mark.parametrize(("name", "columns"), [
+    ("official_report_complete", official.SORT), ("official_report_raw", official.SORT),
+    ("red_tag_all", ("ProducerCode", "Tank", "SamplingTime")),
+    ("immediate_response_bacteria", ("ProducerCode", "SamplingTime", "TestDate")),
+    ("legacy_official_lab", official.SORT),
+])
+def test_reports_come_sorted(spark, name, columns):
+    rows = [tuple((r[c] is not None, r[c]) for c in columns) for r in QUERIES[name](spark, SF).collect()]
+    assert rows == sorted(rows) and len(rows) > 1
+
+
+def test_report_columns_keep_their_types(lab):
+    kinds = dict(official.official_report(lab, FIRST, LAST).dtypes)
+    assert (kinds["SamplingTime"], kinds["Sample Temp"], kinds["Bacteria Count"]) == ("date", "decimal(9,2)", "string")
+    alert = dict(alerts.immediate_response(lab, "Bacteria Count", 30, NOW).dtypes)
+    assert (alert["Bacteria Count"], alert["TestDate"]) == ("int", "date")
+    goat = dict(feeds.goat_feed(lab, 30, NOW).dtypes)
+    assert goat["SamplingTime"] == "timestamp_ntz" and goat["TemperatureAtSampling"] == "decimal(9,2)"
