@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from conftest import SF, awkward, words
+from odd_rows import SF, awkward, words
 
 from creamline.llm import embedding_dedup, simhash, suffix_dedup
 from creamline.llm.components import components

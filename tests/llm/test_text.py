@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF, awkward, words
+from odd_rows import SF, awkward, words
 
 from creamline.llm import licenses, mixing, pieces, pii, quality_model, quality_rules, token_counts
 
