@@ -160,9 +160,8 @@ def _features(span: Column, text: Column) -> Column:
 def patterns_of(docs: DataFrame, text: str = "text") -> DataFrame:
     """Feature values of all proposed spans, with how many spans have them."""
     rows = proposed(docs.select(text), text)
-    spans = rows.filter(F.size("pii_base") + F.size("pii_more") > 0).select(
-        "pii_text", F.explode(F.concat("pii_base", "pii_more")).alias("span")
-    )
+    # a filter before the explode would be pushed down with all of the span expressions and repeat them
+    spans = rows.select("pii_text", F.explode_outer(F.concat("pii_base", "pii_more")).alias("span")).filter("span IS NOT NULL")
     return spans.select(_features(F.col("span"), F.col("pii_text")).alias("f")).groupBy("f").agg(F.count("*").alias("n")).select("f.*", "n")
 
 
