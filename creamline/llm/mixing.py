@@ -204,17 +204,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents, each as often as it is taken; the columns stay as they are."""
-    times = mix(docs, **options).groupBy(
-        F.col("doc_id").alias("its_id"), F.col("source").alias("its_source"), F.col("text_hash").alias("its_hash")
-    ).agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("its_id")) & F.col("source").eqNullSafe(F.col("its_source"))
-        & (F.xxhash64("text") == F.col("its_hash"))
-    )
-    names = docs.columns
+    row = F.xxhash64("doc_id", "source", "text_hash").alias("mix_row")
+    times = mix(docs, **options).groupBy(row, F.col("text_hash").alias("mix_text")).agg(F.sum("copies").cast("int").alias("mix_copies"))
+    # both keys are hashes without nulls, so that removing repeated rows and the join share one shuffle of the texts
+    keyed = docs.withColumn("mix_text", F.xxhash64("text")).withColumn("mix_row", F.xxhash64("doc_id", "source", "mix_text"))
     return (
-        docs.dropDuplicates(["doc_id", "source", "text"]).join(times, same)
-        .withColumn("copy_no", F.explode(F.sequence(F.lit(1), "copies"))).select(*names)
+        keyed.dropDuplicates(["mix_row", "mix_text"]).join(times.filter("mix_copies > 0"), ["mix_row", "mix_text"])
+        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(*docs.columns)
     )
 
 

@@ -176,12 +176,11 @@ def keep_one(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     kept = (
         near_duplicates(docs, distance, shingle)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash")))
-        .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
+        .select(F.xxhash64("doc_id", "text_hash").alias("kept_row"), F.col("text_hash").alias("kept_text")).distinct()
     )
-    rows = docs.join(
-        kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash")), "left_semi"
-    )
-    return rows.dropDuplicates(["doc_id", "text"])
+    # both keys are hashes without nulls, so that the join and removing repeated rows share one shuffle of the texts
+    keyed = docs.withColumn("kept_text", F.xxhash64("text")).withColumn("kept_row", F.xxhash64("doc_id", "kept_text"))
+    return keyed.join(kept, ["kept_row", "kept_text"], "left_semi").dropDuplicates(["kept_row", "kept_text"]).select(*docs.columns)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
