@@ -132,12 +132,8 @@ def lab_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _results(lineitem: DataFrame) -> DataFrame:
     n = F.col("n")
-    mixed = (F.col("l_partkey") + 3 * n) % 5
-    measured = lineitem.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(len(PARAMETERS) - 1)))).filter(
-        F.when(n < COMMON, mixed != 0)
-        .when(n < RARE, mixed == 1)
-        .otherwise((F.col("l_partkey") + 3 * n) % 20 == 1)
-    )
+    by_part = F.array(*[F.array(*[F.lit(k) for k in _measured(part)]) for part in range(20)])
+    measured = lineitem.withColumn("n", F.explode(F.get(by_part, (F.col("l_partkey") % 20).cast("int"))))
     amount = (F.col("l_quantity") * 30 + n * 7).cast("int")
     outcome = (
         F.when(F.col("l_suppkey") % 7 == 1, "Positive")
@@ -173,6 +169,16 @@ def _results(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _measured(part: int) -> list[int]:
+    """Numbers of the parameters measured for a part; they repeat with every twentieth part."""
+    def taken(n: int) -> bool:
+        if n < COMMON:
+            return (part + 3 * n) % 5 != 0
+        return (part + 3 * n) % (5 if n < RARE else 20) == 1
+
+    return [n for n in range(len(PARAMETERS)) if taken(n)]
+
+
 def _line_id() -> Column:
     return F.col("l_orderkey") * 10 + F.col("l_linenumber")
 

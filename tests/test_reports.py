@@ -169,7 +169,7 @@ def test_results_are_cut_to_the_lines_before_anything_else(spark, name):
     lines = plan.split("\n")
     depth = [len(line) - len(line.lstrip(" :+-|")) for line in lines]
     for at, line in enumerate(lines):
-        if "Generate explode(sequence" not in line:
+        if "Generate explode(" not in line:
             continue
         above, level = [], depth[at]
         for k in range(at - 1, -1, -1):
