@@ -173,9 +173,13 @@ def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4) -> Dat
 
 def keep_one(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     """One document of each component, the one of the smallest id; rows that repeat id and text count once."""
+    return first_of_each(docs, near_duplicates(docs, distance, shingle))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents that found (doc_id, text_hash, component_id, first_hash) names as the first of a component."""
     kept = (
-        near_duplicates(docs, distance, shingle)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash")))
+        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash")))
         .select(F.xxhash64("doc_id", "text_hash").alias("kept_row"), F.col("text_hash").alias("kept_text")).distinct()
     )
     # both keys are hashes without nulls, so that the join and removing repeated rows share one shuffle of the texts
@@ -189,5 +193,7 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return keep_one(docs)
+    """One document of each group of texts stays that share enough of their five-word shingles."""
+    from creamline.llm.similar_text import near_copies
+
+    return first_of_each(docs, near_copies(docs))
