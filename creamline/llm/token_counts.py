@@ -15,10 +15,11 @@ are one token each, as the library has it; repeated rows are counted alike; othe
 
 from __future__ import annotations
 
-import bisect
 import json
 import re
+import unicodedata
 from collections import Counter
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(free)) for b in range(256)}
 
 
+@cache
+def _seconds() -> frozenset[str]:
+    """Characters that composition may join with the one before, besides marks: second halves and Hangul vowels and ends."""
+    pairs = (unicodedata.decomposition(chr(c)).split() for c in range(0x110000))
+    found = {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and p[0][0] != "<"}
+    return frozenset(found | set(map(chr, range(0x1160, 0x1200))))
+
+
+def _joins(c: str) -> bool:
+    return unicodedata.combining(c) > 0 or c in _seconds() or unicodedata.category(c) in ("Mn", "Mc", "Me", "Cn")
+
+
 class PrefixCounter:
     """Counts of a words-with-ends merge vocabulary (the JSON file of the tokenizers library at path)."""
 
@@ -142,10 +155,7 @@ class PrefixCounter:
         """The words of a part without special strings, as characters."""
         if _PLAIN.search(part) is None:
             return _WORD.findall(part.lower())
-        normal = self.library.normalizer.normalize_str(part)
-        pieces = self.library.pre_tokenizer.pre_tokenize_str(normal)
-        back = {c: b for b, c in self.letters.items()}
-        return [bytes(map(back.__getitem__, w)).decode() for w, _ in pieces]
+        return self._pieces(self.library.normalizer.normalize_str(part))
 
     def count(self, text: str) -> int:
         """The tokens of the whole text."""
@@ -156,21 +166,73 @@ class PrefixCounter:
 
     def _chunk_counts(self, chunk: str) -> list[int]:
         """The tokens of each prefix by code points of a text without blanks, from one code point on."""
-        if _PLAIN.search(chunk) is not None or self.special_start in chunk:
-            return [self.count(chunk[:k]) for k in range(1, len(chunk) + 1)]
+        counts: list[int] = []
+        total, before = 0, ""
+        for part, special in self.parts(chunk):
+            if special:  # cut short it is ordinary text, read together with the part before it
+                counts += [total + n for n in self._part_counts(before + part[:-1])[len(before) :]]
+                total += self.count(before) + 1
+                counts.append(total)
+                before = ""
+            else:
+                counts += [total + n for n in self._part_counts(part)]
+                before = part
+        return counts
+
+    def _inside(self, word: str) -> list[int]:
+        """The tokens of each prefix by code points of one word."""
+        if word in _SHORT:
+            mark = self._whole("'")
+            return [mark, *(mark + self._whole(word[1:k]) for k in range(2, len(word))), self._whole(word)]
+        if word.isascii():
+            return self.word_counts(word if word.isprintable() else self._stand_ins(word))
+        by_byte = self.word_counts(self._stand_ins(word))
+        return [by_byte[e - 1] for e in np.cumsum([len(c.encode()) for c in word])]
+
+    def _normalised_counts(self, part: str) -> list[int]:
+        """As _part_counts, where the library normalises.
+
+        Where a code point never joins with what stands before it, the normal form up to it is a prefix of that of
+        the whole part, and its count is that of a prefix of a word. Only between such places words are counted anew.
+        """
+        cuts = [0, *(k for k in range(1, len(part)) if not _joins(part[k])), len(part)]
+        forms = [self.library.normalizer.normalize_str(part[s:e]) for s, e in zip(cuts, cuts[1:], strict=False)]
+        normal = "".join(forms)
+        # tokens of each prefix of the normal form, and where its last word starts and what stands before that
+        tokens, start, earlier = [0] * (len(normal) + 1), [0] * (len(normal) + 1), [0] * (len(normal) + 1)
+        at, total = 0, 0
+        for word in self._pieces(normal):
+            begin = normal.index(word, at)
+            for k in range(at + 1, begin + 1):
+                tokens[k], start[k], earlier[k] = total, k, total
+            for k, n in enumerate(self._inside(word), begin + 1):
+                tokens[k], start[k], earlier[k] = total + n, begin, total
+            at = begin + len(word)
+            total = tokens[at]
+        for k in range(at + 1, len(normal) + 1):
+            tokens[k], start[k], earlier[k] = total, k, total
+        counts, end = [], 0
+        for s, e, form in zip(cuts, cuts[1:], forms, strict=False):
+            for k in range(s + 1, e):
+                tail = normal[start[end] : end] + self.library.normalizer.normalize_str(part[s:k])
+                counts.append(earlier[end] + sum(map(self._whole, self._pieces(tail))))
+            end += len(form)
+            counts.append(tokens[end])
+        return counts
+
+    def _pieces(self, normal: str) -> list[str]:
+        back = {c: b for b, c in self.letters.items()}
+        return [bytes(map(back.__getitem__, w)).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+
+    def _part_counts(self, chunk: str) -> list[int]:
+        """_chunk_counts of a text without special strings."""
+        if _PLAIN.search(chunk) is not None:
+            return self._normalised_counts(chunk)
         counts: list[int] = []
         for m in _WORD.finditer(chunk.lower()):
             word, total = m.group(), counts[-1] if counts else 0
             counts += [total] * (m.start() - len(counts))
-            if word in _SHORT:
-                mark = self._whole("'")
-                inside = [mark, *(mark + self._whole(word[1:k]) for k in range(2, len(word))), self._whole(word)]
-            elif word.isascii():
-                inside = self.word_counts(word if word.isprintable() else self._stand_ins(word))
-            else:
-                by_byte = self.word_counts(self._stand_ins(word))
-                inside = [by_byte[e - 1] for e in np.cumsum([len(c.encode()) for c in word])]
-            counts += [total + n for n in inside]
+            counts += [total + n for n in self._inside(word)]
         return counts + [counts[-1] if counts else 0] * (len(chunk) - len(counts))
 
     def prefix_counts(self, text: str) -> np.ndarray:
@@ -186,8 +248,8 @@ class PrefixCounter:
     def longest_prefix(self, text: str, budget: int) -> int:
         """Code points of the longest prefix that has at most budget tokens.
 
-        Sums over chunks never fall, so only the chunk that passes the budget is looked into. Where that chunk
-        is longer than a few words and needs the library's normalising, its cut is found by bisection.
+        Sums over chunks never fall, so only the chunk that passes the budget is looked into. Inside it counts may
+        fall again (half a word can cost more than the whole), so its last fitting prefix is taken from all of them.
         """
         total, begin = 0, 0
         if _PLAIN.search(text) is None and self.special_start not in text:  # words can be summed without chunks
@@ -204,8 +266,6 @@ class PrefixCounter:
             after = total + self.count(m.group())
             if after > budget:
                 chunk = m.group()
-                if len(chunk) > 400 and (_PLAIN.search(chunk) is not None or self.special_start in chunk):
-                    return m.start() + bisect.bisect_right(range(1, len(chunk) + 1), budget - total, key=lambda k: self.count(chunk[:k]))
                 fits = [k for k, n in enumerate(self._chunk_counts(chunk), 1) if total + n <= budget]
                 return m.start() + (fits[-1] if fits else 0)
             total = after

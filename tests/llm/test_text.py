@@ -253,6 +253,20 @@ def test_every_prefix_has_its_count():
             assert own.longest_prefix(text, budget) == max(k for k, n in enumerate(counts) if n <= budget)
 
 
+def test_long_chunks_are_cut_at_their_last_fitting_prefix():
+    """More than 400 code points without a blank that the library has to normalise: counts of prefixes may fall."""
+    own = token_counts.PrefixCounter(public_tokenizers.path("word_bpe_49k.json"))
+    long = ["internationalization", "misunderstanding", "characteristically", "telecommunications"]
+    chunk = "\uff0c".join(long * 8)
+    assert len(chunk) > 400
+    texts = [chunk, "e\u0301a\u0323\u0302\uff0c" * 90, chunk[:300] + "<|endoftext|>'s\u3000" + chunk[:200], "\u1112\u1161\u11ab\u0130x" * 100]
+    for text in texts:
+        counts = [len(own.library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
+        assert own.prefix_counts(text).tolist() == counts
+        for budget in range(0, counts[-1] + 2):
+            assert own.longest_prefix(text, budget) == max(k for k, n in enumerate(counts) if n <= budget)
+
+
 # --- personal data
 
 BASE = {
