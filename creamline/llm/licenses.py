@@ -56,7 +56,7 @@ class Notice:
         raw, n = self.words.encode(), self.edits + 1
         cuts = [len(raw) * i // n for i in range(n + 1)]
         self.pieces = [(raw[s:e], s) for s, e in zip(cuts, cuts[1:], strict=False)]
-        self.pattern = regex.compile(rb"(?b)(?<![^ ])(?:" + regex.escape(raw, special_only=True) + b"){e<=" + str(self.edits).encode() + rb"}(?![^ ])")
+        self.pattern = regex.compile(rb"(?e)(?<![^ ])(?:" + regex.escape(raw, special_only=True) + b"){e<=" + str(self.edits).encode() + rb"}(?![^ ])")
 
     def spans(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, end, edits) of the places of the notice in the blank-joined words."""

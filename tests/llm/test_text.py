@@ -197,6 +197,12 @@ def test_every_notice_within_its_edits_is_found(edits):
         assert licenses.scan(words(9, 400), licenses.notices())["labels"] == ""
 
 
+def test_adjacent_notices_with_different_edits_are_all_found():
+    text = "relased under the mit licence released under the mit license relesed under the mit license"
+    found = [(s["start"], s["end"], s["edits"]) for s in licenses.scan(text, licenses.notices())["spans"] if s["label"] == "mit"]
+    assert found == [(0, 5, 2), (5, 10, 0), (10, 15, 1)]
+
+
 # --- tokens
 
 ODD_TEXTS = [r[1] or "" for r in ROWS if len(r[1] or "") < 5000] + [
