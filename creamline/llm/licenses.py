@@ -3,7 +3,8 @@
 A notice that may differ by k edits is cut into k + 1 pieces; by the pigeonhole principle at least one piece
 stands unchanged in every text within k edits. The pieces are looked for exactly; around each place where one
 stands, the regex library's bounded-error matching verifies the edits and gives the span. Windows that overlap
-are searched once. Both searches run on the words of the whole text, joined by single blanks. One narrow task
+are searched once. Few edits may fall on the words that decide which licence it is, and of overlapping places of
+several notices those with the fewest edits count. Both searches run on the words of the whole text, joined by single blanks. One narrow task
 per input partition: no shuffle.
 
 Defined results: a null text is an empty one; without words all counts are 0, first and last word null, labels
@@ -29,20 +30,37 @@ _WORDS = bytes(
 #: Phrases that are always reported, and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: Notices looked for with edits: label and words.
+#: Notices looked for with edits: label, words and which of the words decide the licence.
 NOTICES = (
-    ("apache", "licensed under the apache license version 2 0"),
-    ("bsd", "redistribution and use in source and binary forms"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "creative commons attribution sharealike"),
-    ("gpl", "licensed under the gnu general public license"),
-    ("mit", "released under the mit license"),
-    ("mpl", "subject to the terms of the mozilla public license"),
-    ("public-domain", "released into the public domain"),
-    ("reserved", "all rights reserved"),
+    ("apache", "licensed under the apache license version 2 0", "apache"),
+    ("bsd", "redistribution and use in source and binary forms", ""),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "nc"),
+    ("cc-by-sa", "creative commons attribution sharealike", "sharealike"),
+    ("gpl", "licensed under the gnu general public license", "gnu general"),
+    ("mit", "released under the mit license", "mit"),
+    ("mpl", "subject to the terms of the mozilla public license", "mozilla"),
+    ("public-domain", "released into the public domain", "public domain"),
+    ("reserved", "all rights reserved", ""),
+    ("bsd", "released under the bsd license", "bsd"),
+    ("gpl", "released under the gpl license", "gpl"),
+    ("isc", "released under the isc license", "isc"),
+    ("cc-by-sa", "licensed under cc by sa 4 0", "sa"),
+    ("cc-by-nd", "licensed under cc by nd 4 0", "nd"),
 )
 #: One edit for so many characters of a notice.
 CHARS_AN_EDIT = 10
+#: One edit for so many characters of the deciding words, and one at least.
+DECIDING_AN_EDIT = 5
+
+
+def _row(wanted: bytes, text: bytes) -> list[int]:
+    """The edits between wanted and each prefix of the text."""
+    row = list(range(len(text) + 1))
+    for k, w in enumerate(wanted, 1):
+        before, row = row, [k]
+        for i, c in enumerate(text):
+            row.append(min(before[i] + (w != c), before[i + 1] + 1, row[i] + 1))
+    return row
 
 
 @dataclass
@@ -50,6 +68,7 @@ class Notice:
     label: str
     words: str
     edits: int
+    deciding: str = ""
     pieces: list[tuple[bytes, int]] = field(default_factory=list)
 
     def __post_init__(self):
@@ -58,6 +77,20 @@ class Notice:
         self.pieces = [(raw[s:e], s) for s, e in zip(cuts, cuts[1:], strict=False)]
         self.pattern = regex.compile(rb"(?e)(?<![^ ])(?:" + regex.escape(raw, special_only=True) + b"){e<=" + str(self.edits).encode() + rb"}(?![^ ])")
 
+    def decided(self, found: bytes, edits: int) -> bool:
+        """Whether the edits can be shared out so that few enough fall on the deciding words."""
+        if not edits or not self.deciding:
+            return True
+        before, word, after = (x.encode() for x in self.words.partition(self.deciding))
+        most = max(1, len(word) // DECIDING_AN_EDIT)
+        head, tail = _row(before, found), _row(after[::-1], found[::-1])[::-1]
+        for i in range(len(found) + 1):
+            if head[i] <= edits:
+                for n, own in enumerate(_row(word, found[i : i + len(word) + most])):
+                    if own <= most and head[i] + own + tail[i + n] <= edits:
+                        return True
+        return False
+
     def spans(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, end, edits) of the places of the notice in the blank-joined words."""
         windows = []
@@ -68,9 +101,14 @@ class Notice:
                 at = text.find(piece, at + 1)
         out, end = [], -1
         for low, high in _merged(windows):
-            for m in self.pattern.finditer(text, max(low, end), min(high, len(text))):
-                out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                end = m.end()
+            at = max(low, end)
+            while m := self.pattern.search(text, at, min(high, len(text))):
+                edits = sum(m.fuzzy_counts)
+                if self.decided(m.group(), edits):
+                    out.append((m.start(), m.end(), edits))
+                    at = end = m.end()
+                else:
+                    at = m.start() + 1
         return out
 
 
@@ -85,7 +123,20 @@ def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def notices(listed=NOTICES, chars_an_edit: int = CHARS_AN_EDIT) -> list[Notice]:
-    return [Notice(label, words, max(1, len(words) // chars_an_edit)) for label, words in listed]
+    return [Notice(label, words, max(1, len(words) // chars_an_edit), *deciding) for label, words, *deciding in listed]
+
+
+def _fewest(found: list[tuple[int, int, int, Notice]]) -> list[tuple[int, int, int, Notice]]:
+    """The spans without those that overlap one of fewer edits."""
+    kept, near = set(), {}  # near: places kept by stretches of 64 bytes
+    for at in sorted(range(len(found)), key=lambda k: found[k][2]):
+        start, end, edits, _ = found[at]
+        stretches = range(start >> 6, (end >> 6) + 1)
+        if not any(n < edits and s < end and start < e for x in stretches for s, e, n in near.get(x, ())):
+            kept.add(at)
+            for x in stretches:
+                near.setdefault(x, []).append((start, end, edits))
+    return [one for at, one in enumerate(found) if at in kept]
 
 
 def scan(text: str, fuzzy: list[Notice], phrases=PHRASES) -> dict:
@@ -103,8 +154,7 @@ def scan(text: str, fuzzy: list[Notice], phrases=PHRASES) -> dict:
             at = padded.find(wanted, at + 1)
     spans = [
         {"label": n.label, "start": joined.count(b" ", 0, s), "end": joined.count(b" ", 0, e) + 1, "edits": edits, "likeness": 1 - edits / len(n.words)}
-        for n in fuzzy
-        for s, e, edits in n.spans(joined)
+        for s, e, edits, n in _fewest([(*span, n) for n in fuzzy for span in n.spans(joined)])
     ]
     return {
         "n_words": len(words),

@@ -203,6 +203,16 @@ def test_adjacent_notices_with_different_edits_are_all_found():
     assert found == [(0, 5, 2), (5, 10, 0), (10, 15, 1)]
 
 
+def test_another_licence_is_not_taken_for_a_notice():
+    listed = licenses.notices()
+    for name in ("bsd", "gpl", "isc", "mit"):
+        assert licenses.scan(f"released under the {name} license", listed)["labels"] == name
+        assert licenses.scan(f"relased under the {name} license", listed)["labels"] == name
+    for name in ("nc", "sa", "nd"):
+        assert licenses.scan(f"licensed under cc by {name} 4 0", listed)["labels"] == f"cc-by,cc-by-{name}"
+    assert licenses.scan("released under the foo license", listed)["labels"] == ""
+
+
 # --- tokens
 
 ODD_TEXTS = [r[1] or "" for r in ROWS if len(r[1] or "") < 5000] + [
