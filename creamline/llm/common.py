@@ -63,10 +63,7 @@ def map_rows(
 
     Rows go out in small batches, so that memory follows the longest texts and not the batch size.
     """
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_of = make()
@@ -78,6 +75,14 @@ def map_rows(
     return map_batches(frame, run, schema)
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow schema of a schema text; on the driver only."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
 def map_batches(frame: DataFrame, run, schema) -> DataFrame:
     """mapInArrow with this package at hand on the executors."""
     ship(frame.sparkSession)
