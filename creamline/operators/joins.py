@@ -1,8 +1,8 @@
 """Joining results with their order line, sample, order, client and producer.
 
 No join carries a hint. A side is broadcast when its size, known from the files or measured at run time,
-is under the session's threshold, and both are shuffled otherwise. Results meet the lines of a report in
-a semi join before anything else, so that they are never a side to be broadcast.
+is under the session's threshold, and both are shuffled otherwise. Results are cut to the lines of a report
+in their scan, by a filter built at run time, before they meet anything in a join.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creamline.operators.runtime_filter import BITS, may_be_wanted
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -39,15 +41,18 @@ def enrich_results(results: DataFrame, enriched_lines: DataFrame) -> DataFrame:
     return results.join(enriched_lines, "commercial_order_line_id")
 
 
-def of_lines(results: DataFrame, lines: DataFrame) -> DataFrame:
-    """Only the results of these lines.
+def near_lines(results: DataFrame, lines: DataFrame, bits: int = BITS) -> DataFrame:
+    """The results of these lines and few others, cut in the scan of the results.
 
-    The join keeps nothing but the line id of the right side, and only that side of a semi join can be
-    broadcast. Spark decides by its size: a few ids cut the results in the scan stage, many are
-    shuffled with them. Either way nothing of another line goes on.
+    For results that are joined with the lines later: that join drops the few.
     """
+    return results.filter(may_be_wanted(lines, ["commercial_order_line_id"], bits))
+
+
+def of_lines(results: DataFrame, lines: DataFrame, bits: int = BITS) -> DataFrame:
+    """Only the results of these lines: cut in the scan, then exactly by a semi join over what is left."""
     ids = lines.select("commercial_order_line_id")
-    return results.join(ids, "commercial_order_line_id", "left_semi")
+    return near_lines(results, ids, bits).join(ids, "commercial_order_line_id", "left_semi")
 
 
 def name_parameters(results: DataFrame, test_parameter: DataFrame, how: str = "left") -> DataFrame:
@@ -99,7 +104,9 @@ def fill_from_lookup(
     return frame.join(single, key, "left").select(columns)
 
 
-def technicians(tables: Tables, parameter: str, bar_codes: DataFrame | None = None) -> DataFrame:
+def technicians(
+    tables: Tables, parameter: str, bar_codes: DataFrame | None = None, bits: int = BITS
+) -> DataFrame:
     """Bar codes with the operators who measured ``parameter`` on any of their order lines.
 
     ``bar_codes`` (one column ``bar_code``) limits the work to samples that will be looked up.
@@ -123,7 +130,7 @@ def technicians(tables: Tables, parameter: str, bar_codes: DataFrame | None = No
     )
     wanted = lines.join(samples, "sample_id")
     return (
-        of_lines(measured, wanted)
+        near_lines(measured, wanted, bits)
         .join(wanted, "commercial_order_line_id")
         .join(tables["result_set"], "sequence_number")
         .select("bar_code", "operator_code")

@@ -18,8 +18,8 @@ from creamline.plans.rules import ALERT_LIMITS, ALERT_TESTS, DEFAULT_RULES, LabR
 from creamline.plans.steps import (
     IDENTIFIED,
     finished_lines,
-    line_ids,
     measured_lines,
+    report_lines,
     results_until,
     with_technician,
 )
@@ -44,10 +44,9 @@ def alert_candidates(
     tested = measured_date(F.col("result_measured_time"), F.col("result_validation_date"))
     measures = [measure, TEMPERATURE]
     results = results_until(tables["reportable_result"], window)
-    measured = measured_lines(
-        tables, results, line_ids(lines, rules), measures, ALERT_TESTS, {"test_date": tested}
-    )
-    rows = enrich_results(measured, sample_columns(lines))
+    lines = report_lines(sample_columns(lines), rules)
+    measured = measured_lines(tables, results, lines, measures, ALERT_TESTS, {"test_date": tested}, rules)
+    rows = enrich_results(measured, lines)
     samples = collapse_by_key(
         official_rows(rows).drop("is_official", "commercial_order_line_id"),
         ["producer_code", "bar_code"],

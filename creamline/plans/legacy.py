@@ -25,8 +25,8 @@ from creamline.plans.rules import (
 from creamline.plans.steps import (
     IDENTIFIED,
     finished_lines,
-    line_ids,
     measured_lines,
+    report_lines,
     results_until,
     with_technician,
 )
@@ -45,10 +45,11 @@ def legacy_pivot(
 ) -> DataFrame:
     labels = OFFICIAL_MEASURES if lab_copy else LEGACY_MEASURES
     results = results_until(tables["reportable_result"], window)
-    measured = measured_lines(tables, results, line_ids(lines, rules), labels, RED_TAG_TESTS, {})
     unused = ["billing_week", "order_line_status", "btu_number", *([] if lab_copy else ["region"])]
     samples = sample_columns(lines, "state").withColumn("seq", seq_middle(F.col("bar_code")))
-    rows = enrich_results(measured, samples.drop(*unused))
+    samples = report_lines(samples.drop(*unused), rules)
+    measured = measured_lines(tables, results, samples, labels, RED_TAG_TESTS, {}, rules)
+    rows = enrich_results(measured, samples)
     return merge_pivoted(rows.drop("commercial_order_line_id"), labels)
 
 

@@ -25,7 +25,7 @@ from creamline.plans.rules import (
     OFFICIAL_REPORT_TESTS,
     LabRules,
 )
-from creamline.plans.steps import IDENTIFIED, line_ids, measured_lines, with_technician
+from creamline.plans.steps import IDENTIFIED, measured_lines, report_lines, with_technician
 
 AVERAGED = ("Bacteria Count", "Somatic cells", "Freezing point")
 
@@ -100,11 +100,12 @@ def official_pivot(
     )
     lines = require_columns(enrich_lines(lines, tables), IDENTIFIED)
     lines = slice_by(lines, slice_kind, slice_value, tables)
+    lines = report_lines(sample_columns(lines, "commercial_item"), rules)
     measured = measured_lines(
-        tables, tables["reportable_result"], line_ids(lines, rules), OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
-        {"result_validation_date": F.col("result_validation_date")},
+        tables, tables["reportable_result"], lines, OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
+        {"result_validation_date": F.col("result_validation_date")}, rules,
     )
-    rows = enrich_results(measured, sample_columns(lines, "commercial_item"))
+    rows = enrich_results(measured, lines)
     return merge_pivoted(rows.drop("commercial_order_line_id"), OFFICIAL_MEASURES)
 
 

@@ -19,7 +19,7 @@ from creamline.operators.filters import (
     any_present_or_blank,
     restrict_to_keys,
 )
-from creamline.operators.joins import Tables, enrich_lines, enrich_results, of_lines
+from creamline.operators.joins import Tables, enrich_lines, enrich_results, near_lines
 from creamline.operators.layout import present
 from creamline.plans.rules import (
     BACTERIA_MEASURES,
@@ -29,7 +29,7 @@ from creamline.plans.rules import (
     RED_TAG_TESTS,
     LabRules,
 )
-from creamline.plans.steps import line_ids, measured_lines, results_until
+from creamline.plans.steps import measured_lines, report_lines, results_until
 from creamline.sources.tables import parse_key_list
 
 MEASURES = tuple(dict.fromkeys([*COMPONENT_MEASURES, *BACTERIA_MEASURES, *CULTURE_MEASURES]))
@@ -70,18 +70,17 @@ def red_tag_samples(
     )
     keys = parse_key_list(lines.sparkSession, bar_codes)
     lines = restrict_to_keys(lines.filter(wanted), keys, "bar_code")
-    ids = line_ids(lines, rules)
-    results = of_lines(tables["reportable_result"], ids)
-    finished = completions(results, window).withColumnRenamed("id", "commercial_order_line_id")
-    lines = lines.join(finished, "commercial_order_line_id")
-    measured = measured_lines(
-        tables, results_until(tables["reportable_result"], window), ids, MEASURES, RED_TAG_TESTS, {}
-    )
-    samples = lines.select(
+    lines = report_lines(lines.select(
         "commercial_order_line_id",
         "producer_code", "tank", seq_right(F.col("bar_code")).alias("seq"), "bar_code",
         local_date(F.col("sampling_time")).alias("sampling_date"),
         "client_name", "chr_number", "ckr_number", "commercial_order_code",
+    ), rules)
+    results = near_lines(tables["reportable_result"], lines, rules.filter_bits)
+    finished = completions(results, window).withColumnRenamed("id", "commercial_order_line_id")
+    samples = lines.join(finished, "commercial_order_line_id").drop("completed_at")
+    measured = measured_lines(
+        tables, results_until(tables["reportable_result"], window), lines, MEASURES, RED_TAG_TESTS, {}, rules
     )
     rows = enrich_results(measured, samples).drop("commercial_order_line_id")
     return collapse_by_key(rows, ["bar_code"])

@@ -1,6 +1,9 @@
 """Codes, lists and limits of the laboratory's reports."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+
+from creamline.operators.runtime_filter import BITS
+from creamline.sources.shared import REPORTS, SharedTables
 
 # Item and test codes, regions and measure names as the reports define them.
 
@@ -60,10 +63,10 @@ ALERT_LIMITS = {"Bacteria Count": 750, "Somatic Cells": 1000}
 class LabRules:
     """What a laboratory may want to change about the reports.
 
-    ``lab_code`` is the laboratory's own short name, which goes into the goat client's record. With a
-    shared folder as ``store`` the ids of a report's lines are written there and read back first: Spark
-    then knows how few they are and cuts the results where they are scanned. Without it their size is
-    known only after both sides of the join have been shuffled.
+    ``lab_code`` is the laboratory's own short name, which goes into the goat client's record. ``shared``
+    holds the lines of a report for its readers; with None each reader computes them again. ``filter_bits``
+    is the size of the filter that cuts results in their scan: some 16 bits for each line of a report are
+    good, fewer let results of other lines through to the joins.
     """
 
     status: str = "Completed"
@@ -74,7 +77,8 @@ class LabRules:
     feed_state: str | None = "IA"
     lab_code: str = "LAB"
     strict_numbers: bool = False
-    store: str | None = None
+    shared: SharedTables | None = field(default=REPORTS, compare=False, repr=False)
+    filter_bits: int = BITS
 
 
 DEFAULT_RULES = LabRules()

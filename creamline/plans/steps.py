@@ -18,15 +18,15 @@ from creamline.operators.joins import (
     enrich_results,
     fill_from_lookup,
     mapped_pairs,
-    of_lines,
+    near_lines,
     technicians,
 )
 from creamline.operators.layout import with_text_null
 from creamline.operators.pivots import pivot_by_line
 from creamline.plans.rules import LabRules
-from creamline.sources.sinks import kept
 
 IDENTIFIED = ("producer_code", "tank", "sampling_time")
+_ITEM = "_item"
 
 
 def finished_lines(tables: Tables, window: ReportWindow, rules: LabRules) -> DataFrame:
@@ -43,23 +43,27 @@ def results_until(results: DataFrame, window: ReportWindow) -> DataFrame:
     return results.filter(window.before_end(stamp) | stamp.isNull())
 
 
-def line_ids(lines: DataFrame, rules: LabRules) -> DataFrame:
-    """The ids of a report's lines, of known size where the rules name a store."""
-    return kept(lines.select("commercial_order_line_id"), rules.store)
+def report_lines(lines: DataFrame, rules: LabRules) -> DataFrame:
+    """The lines of a report with what it shows of them: computed once for the cut of the results and for the report."""
+    return rules.shared.share(lines, "lines") if rules.shared is not None else lines
 
 
 def measured_lines(
     tables: Tables,
     results: DataFrame,
-    ids: DataFrame,
+    lines: DataFrame,
     labels: Sequence[str],
     official_tests: Sequence[str],
     keys: Mapping[str, Column],
+    rules: LabRules,
 ) -> DataFrame:
-    """Coded results of the lines with these ids, pivoted per order line, official flag and ``keys``."""
+    """Coded results of these lines, pivoted per order line, official flag and ``keys``.
+
+    Some of other lines may be among them, for the join with the lines that follows to drop.
+    """
     official = flag_official(F.col("commercial_test_code"), official_tests)
     return pivot_by_line(
-        of_lines(results, ids), tables["test_parameter"], labels,
+        near_lines(results, lines, rules.filter_bits), tables["test_parameter"], labels,
         code_results(F.col("aggregated_value")), {"is_official": official, **keys},
     )
 
@@ -87,9 +91,8 @@ def mapped_results(
 ) -> DataFrame:
     """Results of the lines for known parameters that are mapped to the line's item.
 
-    The lines are turned into the pairs of line and parameter that count, and one semi join with those
-    cuts the results, before anything of them is shuffled for a pivot. ``only`` drops other measures
-    early; it may be given where a report keeps a row only if one of those measures is present, since
+    The scan cuts the results to the lines. Then the pairs of line and parameter that count cut them in a
+    semi join, before anything of them is shuffled for a pivot. ``only`` drops other measures early; it may be given where a report keeps a row only if one of those measures is present, since
     the others then add nothing.
     """
     parameters = tables["test_parameter"]
@@ -98,9 +101,8 @@ def mapped_results(
     known = parameters.select(F.col("test_parameter_code").alias("commercial_parameter_code"))
     pairs = mapped_pairs(tables).join(known, "commercial_parameter_code", "left_semi").distinct()
     counted = lines.select("commercial_order_line_id", "commercial_item").join(pairs, "commercial_item")
-    return results_until(tables["reportable_result"], window).join(
-        kept(counted, rules.store), ["commercial_order_line_id", "commercial_parameter_code"], "left_semi"
-    )
+    results = near_lines(results_until(tables["reportable_result"], window), lines, rules.filter_bits)
+    return results.join(counted, ["commercial_order_line_id", "commercial_parameter_code"], "left_semi")
 
 
 def sheet_rows(
@@ -118,18 +120,18 @@ def sheet_rows(
 
     ``shown`` are columns of the lines, ``flags`` columns of a result that keep rows apart.
     """
-    results = mapped_results(tables, window, lines, rules, only)
+    line, item = "commercial_order_line_id", "commercial_item"
+    lines = report_lines(lines.select(line, *shown, F.col(item).alias(_ITEM)), rules)
+    results = mapped_results(tables, window, lines.select(line, F.col(_ITEM).alias(item)), rules, only)
     measured = pivot_by_line(results, tables["test_parameter"], labels, value, flags)
-    return enrich_results(measured, lines.select("commercial_order_line_id", *shown)).drop(
-        "commercial_order_line_id"
-    )
+    return enrich_results(measured, lines.drop(_ITEM)).drop("commercial_order_line_id")
 
 
 def with_technician(
     frame: DataFrame, tables: Tables, rules: LabRules, bar_codes: DataFrame
 ) -> DataFrame:
     """Adds ``lab_tech``, the operator of the bar code's technician test."""
-    lookup = technicians(tables, rules.technician_parameter, bar_codes)
+    lookup = technicians(tables, rules.technician_parameter, bar_codes, rules.filter_bits)
     return fill_from_lookup(
         with_text_null(frame, "lab_tech"), lookup, "bar_code", "operator_code", "lab_tech"
     )

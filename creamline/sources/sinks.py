@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
@@ -27,18 +26,6 @@ def write_report(
     return written
 
 
-def kept(frame: DataFrame, folder: str | None) -> DataFrame:
-    """The frame written below a folder and read back, so that its size is known; as it is without a folder.
-
-    The folder must be one that all executors see. Every call writes a folder of its own.
-    """
-    if folder is None:
-        return frame
-    path = f"{folder.rstrip('/')}/kept-{uuid4().hex}"
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 BUCKET_KEYS = {"reportable_result": "commercial_order_line_id", "commercial_order_line": "id"}
 
 

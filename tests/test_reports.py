@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creamline.catalog import QUERIES
 from creamline.plans import alerts, feeds, legacy, official, records, redtag, sheets
 from creamline.plans.rules import LabRules
+from creamline.sources.shared import SharedTables
 from creamline.schemas import SCHEMAS
 from creamline.functions.dates import between_dates
 from creamline.operators.completion import completed_in_window
@@ -164,10 +165,11 @@ def test_official_pivot_is_shuffled_once(spark):
 @pytest.mark.parametrize("name", ["official_report_raw", "immediate_response_bacteria", "red_tag_all",
                                   "goat_feed", "dairy_sheet", "legacy_official_state"])
 def test_results_are_cut_to_the_lines_before_anything_else(spark, name):
-    """Each explode of raw results ends in the completion's grouping or in a semi join."""
-    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    """In the plan that ran, each scan of raw results is the completion's or has the run-time filter of the lines."""
+    plan = final_plan_of(QUERIES[name](spark, SF)).split("Initial Plan")[0]
     lines = plan.split("\n")
     depth = [len(line) - len(line.lstrip(" :+-|")) for line in lines]
+    seen = with_filter = 0
     for at, line in enumerate(lines):
         if "Generate explode(" not in line:
             continue
@@ -176,8 +178,13 @@ def test_results_are_cut_to_the_lines_before_anything_else(spark, name):
             if depth[k] < level:
                 above.append(lines[k])
                 level = depth[k]
-        first = next(x for x in above if re.search(r"Aggregate|Join|Window", x))
-        assert "LeftSemi" in first or "max(result_validation_date" in first, first
+        below = next((k for k in range(at + 1, len(lines)) if depth[k] <= depth[at]), len(lines))
+        cut = any("Filter" in x and "ubquery" in x for x in lines[at:below])
+        first = next(x for x in above if re.search(r"Aggregate|Join|Exchange", x))
+        assert cut or "max(result_validation_date" in first, first
+        seen += 1
+        with_filter += cut
+    assert with_filter and seen
 
 
 def test_filters_reach_the_scan(spark, lab, tmp_path):
@@ -215,7 +222,7 @@ def shuffled_bytes(spark) -> int:
     return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
 
 
-def test_shuffles_follow_the_window_and_not_the_history(spark, tmp_path):
+def test_shuffles_follow_the_window_and_not_the_history(spark):
     """Six times the history, the same few days: what a report shuffles stays about the same."""
     source = lab_tables(spark, SF.replace("sf0.001", "sf0.01"))
     tables = {name: source[name] for name in SCHEMAS}
@@ -228,7 +235,7 @@ def test_shuffles_follow_the_window_and_not_the_history(spark, tmp_path):
     long = facts
     for part in older:
         long = long.unionAll(part)
-    now, rules, moved, rows = datetime(1996, 6, 10, 12), LabRules(feed_state=None, store=str(tmp_path)), [], []
+    now, rules, moved, rows = datetime(1996, 6, 10, 12), LabRules(feed_state=None), [], []
     for history in (facts, long):
         before = shuffled_bytes(spark)
         sheet = sheets.inspector_wide(tables | {"reportable_result": history}, 7, now, rules)
@@ -238,15 +245,16 @@ def test_shuffles_follow_the_window_and_not_the_history(spark, tmp_path):
     assert moved[1] < 1.3 * moved[0]
 
 
-def test_same_rows_with_and_without_a_store(spark, lab, tmp_path):
-    stored = LabRules(store=str(tmp_path))
+def test_same_rows_however_the_lines_are_held_and_cut(spark, lab):
+    """Shared or computed by each reader, and with a filter so small that it lets nearly all results through."""
+    others = [LabRules(shared=None), LabRules(filter_bits=64), LabRules(shared=SharedTables(most=1))]
     for build in (
         lambda rules: official.official_report(lab, FIRST, LAST, mode="raw", rules=rules),
         lambda rules: redtag.red_tag(lab, "all", "CO18-08-1", 30, NOW, rules=rules),
         lambda rules: sheets.dairy_sheet(lab, 30, NOW, rules),
     ):
-        rows = [sorted(map(str, build(rules).collect())) for rules in (LabRules(), stored)]
-        assert rows[0] == rows[1] and rows[0]
+        rows = [sorted(map(str, build(rules).collect())) for rules in (LabRules(), *others)]
+        assert rows[0] and all(other == rows[0] for other in rows[1:])
 
 
 @pytest.mark.parametrize(("name", "columns"), [
