@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +17,16 @@ from pyspark.sql.types import DateType, DecimalType
 from creamline.checks import Lists as L
 from creamline.checks import CODED, DAY, lab, mean, measures, number, official
 from creamline.functions import coding, dates, numbers, text
-from creamline.operators import aggregates, completion, filters, joins, layout, pivots
+from creamline.operators import aggregates, completion, completion_state, filters, joins, layout, pivots
 from creamline.plans import alerts, feeds, legacy, records, redtag, sheets
 from creamline.plans import official as official_plan
 from creamline.plans import rules as R
+from creamline.schemas import SCHEMAS
+from creamline.sources import published
 from creamline.sources.retail import lab_tables
-from creamline.sources.tables import parse_key_list
+from creamline.sources.shared import shared_folder
+from creamline.sources.stored import save_lab
+from creamline.sources.tables import load_tables, parse_key_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +153,22 @@ def _(t):
     return _completed(t, dates.days_from_now(DAYS, NOW))
 
 
+@query("completed_by_state", _completed_sql(
+    "max(validated) > TIMESTAMP '1996-05-23 17:00:00'"
+    " AND max(validated) <= TIMESTAMP '2000-07-01 17:00:00'"))
+def _(t):
+    """From the kept state, into which results came in four batches, the latest of them first."""
+    spark = t["sample"].sparkSession
+    path = f"{shared_folder(spark)}/state-{uuid4().hex}"
+    results, last = t["reportable_result"], F.col("result_validation_date") >= F.lit("1997-06-01").cast("timestamp_ntz")
+    part = F.col("commercial_order_line_id") % 2 == 0
+    for batch in (results.filter(last & part), results.filter(~last), results.filter(last & ~part), results.filter(last)):
+        completion_state.merge_results(batch, path)
+    done = completion.completed_in_window(
+        results, t["commercial_order_line"], dates.days_from_now(DAYS, NOW), state=completion_state.read_state(spark, path))
+    return done.select("id", "sample_id", "completed_at")
+
+
 @query("completed_default_days", _completed_sql(
     "max(validated) > TIMESTAMP '2000-06-01 05:00:00'"
     " AND max(validated) <= TIMESTAMP '2000-07-01 17:00:00'"))
@@ -169,10 +191,22 @@ def _(t):
     return completion.samples_with_items(_official_eligible(t), R.OFFICIAL_ITEMS)
 
 
+# Said in one pass, since every retail line has at least one result: a sample's lines are taken if any of them is
+# completed in the window and ordered an official item.
 @query("sample_expansion", lab("""
-    SELECT line_id AS id, sample_id, item AS commercial_item FROM lines
-    WHERE status = 'Completed' AND sample_id IN (SELECT sample_id FROM picked)""",
-    _ELIGIBLE_SAMPLES))
+    SELECT line_id AS id, sample_id, item AS commercial_item FROM (
+      SELECT *, max(CASE WHEN item IN ('MVPQVP1', 'MVPQVP2', 'MVPQVPG', 'MVPQVP8')
+          AND validated >= TIMESTAMP '1997-01-01 05:00:00' AND validated <= TIMESTAMP '1999-01-01 05:00:00'
+          THEN 1 ELSE 0 END) OVER (PARTITION BY sample_id) AS wanted
+      FROM (
+        SELECT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS sample_id, items.item AS item,
+          max(l_shipdate + to_hours(CAST(l_suppkey % 24 AS INT))) AS validated
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+        JOIN items ON items.pos = l_linenumber
+        WHERE o_orderstatus <> 'P'
+        GROUP BY l_orderkey, l_linenumber, items.item
+      )
+    ) WHERE wanted = 1"""))
 def _(t):
     return completion.expand_to_samples(
         _official_eligible(t), t["commercial_order_line"], R.OFFICIAL_ITEMS, "COMPLETED"
@@ -730,6 +764,16 @@ def _(t):
     return official_plan.official_report(t, FIRST, LAST)
 
 
+_IN_ORDER = ", ".join(f'"{c}" NULLS FIRST' for c in [
+    *official_plan.SORT, *(c for c in official_plan.TITLES.values() if c not in official_plan.SORT)])
+
+
+@query("official_report_in_order", f"""SELECT *, row_number() OVER (ORDER BY {_IN_ORDER}) AS place
+    FROM ({lab(_finish("parts", _COMPLETE), *_OFFICIAL_CTES)})""")
+def _(t):
+    return official_plan.official_report(t, FIRST, LAST, place="place")
+
+
 @query("official_report_incomplete", lab(_finish("parts", _INCOMPLETE), *_OFFICIAL_CTES))
 def _(t):
     return official_plan.official_report(t, FIRST, LAST, mode="all")
@@ -898,6 +942,17 @@ def _(t):
     return redtag.red_tag_all_sections(t, ORDER, DAYS, NOW)
 
 
+@query("red_tag_delivery", SQL["red_tag_datasets"])
+def _(t):
+    """The four datasets delivered together and read back, one below the other."""
+    spark = t["sample"].sparkSession
+    datasets = redtag.red_tag_datasets(t, ORDER, DAYS, NOW)
+    path = f"{shared_folder(spark)}/delivery-{uuid4().hex}"
+    published.publish(datasets, path)
+    read = [published.read_published(spark, path, name).withColumn("section", F.lit(name)) for name in datasets]
+    return reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), read)
+
+
 @query("red_tag_zero_days", _red_tag_sql("all").replace(
     "TIMESTAMP '1996-05-23 05:00:00'", "CAST(NULL AS TIMESTAMP)"))  # zero leaves the start unknown
 def _(t):
@@ -1270,3 +1325,23 @@ def _(t):
 @query("legacy_official_lab", _legacy_sql(lab_copy=True))
 def _(t):
     return legacy.legacy_official(t, "lab", DAYS, NOW)
+
+
+# --- from stored tables --------------------------------------------------------------------------
+
+def _stored(t) -> dict[str, DataFrame]:
+    """The tables written in the stored layout and read back, reference data from a place of their own."""
+    spark = t["sample"].sparkSession
+    path = f"{shared_folder(spark)}/lab-{uuid4().hex}"
+    save_lab({name: t[name] for name in SCHEMAS}, f"{path}/lab", f"{path}/reference")
+    return load_tables(spark, f"{path}/lab", f"{path}/reference")
+
+
+@query("stored_inspector_report", SQL["inspector_report"])
+def _(t):
+    return sheets.inspector_report(_stored(t), DAYS, NOW)
+
+
+@query("stored_official_report", SQL["official_report_raw"])
+def _(t):
+    return official_plan.official_report(_stored(t), FIRST, LAST, mode="Raw")

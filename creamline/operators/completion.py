@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from creamline.functions.dates import ReportWindow
 from creamline.functions.text import same_text
+from creamline.operators.completion_state import state_completions
+from creamline.sources.stored import in_months
 
 
 def completions(results: DataFrame, window: ReportWindow) -> DataFrame:
@@ -17,7 +19,7 @@ def completions(results: DataFrame, window: ReportWindow) -> DataFrame:
     """
     stamp = F.col("result_validation_date")
     return (
-        results.filter(window.after_start(stamp))
+        in_months(results, window).filter(window.after_start(stamp))
         .groupBy(F.col("commercial_order_line_id").alias("id"))
         .agg(F.max(stamp).alias("completed_at"))
         .filter(window.before_end(F.col("completed_at")))
@@ -29,9 +31,14 @@ def completed_in_window(
     lines: DataFrame,
     window: ReportWindow,
     status: str | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines completed in the window. Results are reduced to lines before the join."""
-    return with_status(lines, status).join(completions(results, window), "id")
+    """Order lines completed in the window. Results are reduced to lines before the join.
+
+    With the ``state`` of ``completion_state`` the days of the window are read from there, and no results.
+    """
+    done = completions(results, window) if state is None else state_completions(state, window)
+    return with_status(lines, status).join(done, "id")
 
 
 def with_status(lines: DataFrame, status: str | None) -> DataFrame:

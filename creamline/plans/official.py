@@ -18,6 +18,7 @@ from creamline.operators.completion import (
 from creamline.operators.filters import find_complete, find_incomplete, require_columns, slice_by
 from creamline.operators.joins import Tables, enrich_lines, enrich_results
 from creamline.operators.layout import present
+from creamline.operators.ordering import with_place
 from creamline.operators.pivots import merge_pivoted
 from creamline.plans.rules import (
     DEFAULT_RULES,
@@ -25,7 +26,7 @@ from creamline.plans.rules import (
     OFFICIAL_REPORT_TESTS,
     LabRules,
 )
-from creamline.plans.steps import IDENTIFIED, measured_lines, report_lines, with_technician
+from creamline.plans.steps import COMPLETION_STATE, IDENTIFIED, measured_lines, report_lines, shared_rows, with_technician
 
 AVERAGED = ("Bacteria Count", "Somatic cells", "Freezing point")
 
@@ -80,7 +81,8 @@ def sample_columns(lines: DataFrame, *extra: str) -> DataFrame:
 
 def eligible_lines(tables: Tables, window: ReportWindow, rules: LabRules) -> DataFrame:
     return completed_in_window(
-        tables["reportable_result"], tables["commercial_order_line"], window, rules.status
+        tables["reportable_result"], tables["commercial_order_line"], window, rules.status,
+        tables.get(COMPLETION_STATE),
     )
 
 
@@ -122,9 +124,12 @@ def official_report(
     mode: str | None = None,
     rules: LabRules = DEFAULT_RULES,
     sort: bool = True,
+    place: str | None = None,
 ) -> DataFrame:
     """Results completed between two days.
 
+    ``place`` names a column to be added, which gives each row's place in the report's order.
+
     ``mode`` 'All' lists incomplete rows, 'Raw' lists every region per sample without averages, and
     anything else lists complete rows.
     """
@@ -144,6 +149,9 @@ def official_report(
     elif chosen != "raw":
         rows = find_complete(rows, [*_TEXTS, *_OTHERS, "sampling_date"])
     report = present(rows, TITLES)
+    if place is not None:
+        rest = [F.col(f"`{c}`") for c in report.columns if c not in SORT]
+        return with_place(report, [*SORT, *rest], lambda frame: shared_rows(frame, rules), place)
     return report.orderBy(*SORT) if sort else report
 
 

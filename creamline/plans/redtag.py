@@ -29,7 +29,7 @@ from creamline.plans.rules import (
     RED_TAG_TESTS,
     LabRules,
 )
-from creamline.plans.steps import measured_lines, report_lines, results_until
+from creamline.plans.steps import measured_lines, report_lines, results_until, shared_rows
 from creamline.sources.tables import parse_key_list
 
 MEASURES = tuple(dict.fromkeys([*COMPONENT_MEASURES, *BACTERIA_MEASURES, *CULTURE_MEASURES]))
@@ -158,6 +158,6 @@ def red_tag_datasets(
     bar_codes: str | None = None,
     rules: LabRules = DEFAULT_RULES,
 ) -> dict[str, DataFrame]:
-    """The four sections as frames of their own, for writers that want one folder each."""
-    samples = red_tag_samples(tables, order_code, days, now, bar_codes, rules)
+    """The four sections as frames of their own, for writers that want one folder each; computed once for all."""
+    samples = shared_rows(red_tag_samples(tables, order_code, days, now, bar_codes, rules), rules)
     return {section: red_tag_section(samples, section) for section in SECTIONS}

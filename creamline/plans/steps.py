@@ -24,15 +24,20 @@ from creamline.operators.joins import (
 from creamline.operators.layout import with_text_null
 from creamline.operators.pivots import pivot_by_line
 from creamline.plans.rules import LabRules
+from creamline.sources.shared import REPORTS
+from creamline.sources.stored import in_months
 
 IDENTIFIED = ("producer_code", "tank", "sampling_time")
+#: Name under which tables may hold the state of ``operators.completion_state``; reports then read completion there.
+COMPLETION_STATE = "completion_state"
 _ITEM = "_item"
 
 
 def finished_lines(tables: Tables, window: ReportWindow, rules: LabRules) -> DataFrame:
     """Enriched lines completed in the window."""
     eligible = completed_in_window(
-        tables["reportable_result"], tables["commercial_order_line"], window, rules.status
+        tables["reportable_result"], tables["commercial_order_line"], window, rules.status,
+        tables.get(COMPLETION_STATE),
     )
     return enrich_lines(eligible, tables)
 
@@ -40,7 +45,7 @@ def finished_lines(tables: Tables, window: ReportWindow, rules: LabRules) -> Dat
 def results_until(results: DataFrame, window: ReportWindow) -> DataFrame:
     """Results that a line completed in the window can have: none is later than its end."""
     stamp = F.col("result_validation_date")
-    return results.filter(window.before_end(stamp) | stamp.isNull())
+    return in_months(results, window).filter(window.before_end(stamp) | stamp.isNull())
 
 
 def report_lines(lines: DataFrame, rules: LabRules) -> DataFrame:
@@ -48,6 +53,11 @@ def report_lines(lines: DataFrame, rules: LabRules) -> DataFrame:
     return rules.shared.share(lines, "lines") if rules.shared is not None else lines
 
 
+def shared_rows(rows: DataFrame, rules: LabRules) -> DataFrame:
+    """Rows that several readers use, computed once; a store of the rules' own or the reports' common one."""
+    return (rules.shared or REPORTS).share(rows, "rows")
+
+
 def measured_lines(
     tables: Tables,
     results: DataFrame,

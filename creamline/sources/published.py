@@ -45,11 +45,12 @@ def publish(
     path: str,
     partitions: Sequence[str] = (),
     delivers: Sequence[Mapping[str, object]] = (),
+    whole: bool = False,
 ) -> int:
     """Delivers all datasets or none; returns the version under which they are visible.
 
-    ``partitions`` are the columns by which a delivery is replaced in parts. Without any, a dataset is replaced
-    whole. ``delivers`` names partitions that this run answers for even where it has no row for them.
+    ``partitions`` are the columns by which a delivery is replaced in parts. Without any, or if it is ``whole``, a
+    dataset is replaced altogether. ``delivers`` names partitions that this run answers for even where it has no row for them.
     """
     path, run = path.rstrip("/"), uuid4().hex
     spark = next(iter(datasets.values())).sparkSession
@@ -61,7 +62,7 @@ def publish(
             frame.write.partitionBy(*partitions).parquet(target)
             fresh += _delivered(spark, name, target, run, partitions, frame.schema.json(), delivers)
         replaced = {(e["dataset"], e["partition"]) for e in fresh}
-        if not partitions:
+        if whole or not partitions:
             replaced |= {(e.dataset, e.partition) for e in entries if e.dataset in datasets}
         kept = [e.asDict() for e in entries if (e.dataset, e.partition) not in replaced]
         rows = [tuple(e[c] for c in ("dataset", "partition", "run", "folder")) for e in kept + fresh]
@@ -80,9 +81,9 @@ def _delivered(spark, name, target, run, partitions, schema, delivers) -> list[d
         return [{"dataset": name, "partition": "{}", "run": run, "folder": target}]
     shown = F.to_json(F.struct(*[F.col(p).cast("string").alias(p) for p in partitions]), {"ignoreNullFields": "false"})
     frame = spark.read.parquet(target) if _has_files(spark, target) else None
-    found = [] if frame is None else frame.select(
-        shown.alias("partition"), F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
-    ).distinct().collect()
+    # a file's path is given as a URI, in which a plus is a plus
+    folder = F.url_decode(F.replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))
+    found = [] if frame is None else frame.select(shown.alias("partition"), folder.alias("folder")).distinct().collect()
     out = [{"dataset": name, "partition": r.partition, "run": run, "folder": r.folder} for r in found]
     have = {e["partition"] for e in out}
     if delivers:
