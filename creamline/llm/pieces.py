@@ -2,13 +2,15 @@
 
 The symbols of a chunk start as its characters. An agenda holds the adjacent pairs that the vocabulary knows, the
 best score first and the leftmost of equals; the pair on top is merged, and its new neighbours join the agenda,
-until none is left. Characters without a piece become bytes. No piece has the blank mark after another
+until none is left. Characters without a piece become bytes. The agendas of all short chunks of an Arrow batch are one
+array of ranks, in which every round takes the best pair of each chunk; a long chunk has a heap of its own. No piece has the blank mark after another
 character, so a text is cut before each run of marks and its chunks are encoded apart; inside, two characters
 that no piece holds side by side part it further.
 
-Each task keeps a bounded table of encoded chunks, which only saves time. For each Arrow batch the chunks met
-for the first time are checked against the sentencepiece library; should one differ, the library's ids are taken
-and the document reports it. Decoding is the library's. One narrow task per input partition: no shuffle.
+Each task keeps a bounded table of encoded chunks, which only saves time. For each Arrow batch the chunks that are
+not in it are encoded and checked against the sentencepiece library; should one differ, the library's ids are taken
+and the document reports it. Where the table is emptied, all chunks of the batch are encoded and checked again, so
+every id in use was checked. Decoding is the library's. One narrow task per input partition: no shuffle.
 
 Defined results: a null text is an empty one, with begin and end ids only; repeated rows are encoded alike;
 other columns are not read.
@@ -19,6 +21,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,19 @@ from creamline.llm.common import map_batches, table
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 _MOST_CHUNKS, _MOST_PARTS = 800_000, 200_000
+#: Chunks up to so many characters are merged together with others; longer ones have a heap of their own.
+_SHORT = 24
+_NEVER = 1 << 30
+#: The table of pairs: a hash of open slots, eight times as many as the vocabulary has pairs.
+_SLOTS, _SPREAD, _SHIFT = (1 << 19) - 1, 0x9E3779B97F4A7C15, 64 - 19
+
+
+def _raw(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned numbers of 32 bits."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 class PieceCodec:
@@ -45,6 +62,27 @@ class PieceCodec:
         self.ids = dict(zip(pieces, usable, strict=True))
         self.costs = {p: -self.library.get_score(i) for p, i in self.ids.items() if len(p) > 1}
         self.joined = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
+        numbers = dict(self.ids)
+        for piece in pieces:
+            for char in piece:
+                numbers.setdefault(char, len(numbers) + n)  # a character that only longer pieces hold
+        ranks = {cost: rank for rank, cost in enumerate(sorted(set(self.costs.values())))}
+        self.last_piece, self.number_of = n, np.full(0x110000, -1, dtype=np.int32)
+        self.lone = {number: char for char, number in numbers.items() if number >= n}
+        for char, number in numbers.items():
+            if len(char) == 1:
+                self.number_of[ord(char)] = number
+        self.slot_key = np.full(_SLOTS + 1, -1, dtype=np.int64)
+        self.slot_rank, self.slot_piece = np.full(_SLOTS + 1, _NEVER, dtype=np.int32), np.zeros(_SLOTS + 1, dtype=np.int32)
+        for piece, cost in self.costs.items():
+            for k in range(1, len(piece)):
+                left, right = numbers.get(piece[:k]), numbers.get(piece[k:])
+                if left is not None and right is not None:
+                    key = left << 20 | right
+                    slot = (key * _SPREAD & (1 << 64) - 1) >> _SHIFT
+                    while self.slot_key[slot] != -1:
+                        slot = (slot + 1) & _SLOTS
+                    self.slot_key[slot], self.slot_rank[slot], self.slot_piece[slot] = key, ranks[cost], self.ids[piece]
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
         self.chunks: dict[str, bytes] = {}
@@ -83,6 +121,81 @@ class PieceCodec:
             ids += [known] if known is not None else [self.bytes[b] for b in symbol.encode()]
         return ids
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of each pair (_NEVER: not in the vocabulary), and its slot in the table of pairs."""
+        keys = left.astype(np.int64) << 20 | right
+        slot = ((keys.view(np.uint64) * np.uint64(_SPREAD)) >> np.uint64(_SHIFT)).view(np.int64)
+        odd = np.flatnonzero((self.slot_key[slot] != keys) & (self.slot_key[slot] != -1))
+        while len(odd):
+            slot[odd] = (slot[odd] + 1) & _SLOTS
+            there = self.slot_key[slot[odd]]
+            odd = odd[(there != keys[odd]) & (there != -1)]
+        return np.where((self.slot_key[slot] == keys) & (left >= 0) & (right >= 0), self.slot_rank[slot], _NEVER), slot
+
+    def agendas(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all chunks and how many each has; every round merges the best pair of each chunk at once."""
+        sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), dtype="<i4")
+        symbols = self.number_of[codes]
+        symbols = np.where(symbols < 0, -1 - codes, symbols)  # a character that no piece holds
+        owner = np.repeat(np.arange(len(chunks), dtype=np.int32), sizes)
+        rank, slot = np.full(len(symbols), _NEVER, dtype=np.int32), np.zeros(len(symbols), dtype=np.int32)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inside], slot[inside] = self._ranks(symbols[inside], symbols[inside + 1])
+        done = []
+        while len(owner):
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            lengths = np.diff(np.r_[starts, len(owner)])
+            least = np.repeat(np.minimum.reduceat(rank, starts), lengths)
+            going = least != _NEVER
+            if not going.all():
+                done.append((owner[~going], symbols[~going]))
+                owner, symbols, rank, slot, least = (x[going] for x in (owner, symbols, rank, slot, least))
+                if not len(owner):
+                    break
+            best = np.flatnonzero(rank == least)
+            best = best[np.r_[True, owner[best[1:]] != owner[best[:-1]]]]  # the leftmost of equals
+            symbols[best] = self.slot_piece[slot[best]]
+            stays = np.ones(len(owner), dtype=bool)
+            stays[best + 1] = False
+            rank[best] = rank[best + 1]
+            owner, symbols, rank, slot = (x[stays] for x in (owner, symbols, rank, slot))
+            best -= np.arange(len(best))
+            for at in (best[best > 0] - 1, best[best < len(owner) - 1]):
+                at = at[owner[at] == owner[at + 1]]
+                rank[at], slot[at] = self._ranks(symbols[at], symbols[at + 1])
+        order = np.concatenate([o for o, _ in done]) if done else np.zeros(0, dtype=np.int64)
+        place = np.argsort(order, kind="stable")
+        flat = np.concatenate([x for _, x in done])[place] if done else np.zeros(0, dtype=np.int32)
+        return flat, np.bincount(order, minlength=len(chunks))
+
+    def _with_bytes(self, symbols: list[int]) -> list[int]:
+        """Ids of symbols of which some are characters without a piece."""
+        out = []
+        for s in symbols:
+            if 0 <= s < self.last_piece:
+                out.append(s)
+            else:
+                out += [self.bytes[b] for b in (chr(-1 - s) if s < 0 else self.lone[s]).encode()]
+        return out
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk, as little-endian unsigned numbers of 32 bits."""
+        out = [b""] * len(chunks)
+        short = [k for k, chunk in enumerate(chunks) if len(chunk) <= _SHORT]
+        flat, counts = self.agendas([chunks[k] for k in short])
+        ends = np.cumsum(counts)
+        plain = (flat >= 0) & (flat < self.last_piece)
+        odd = set(np.searchsorted(ends, np.flatnonzero(~plain), side="right").tolist())
+        raw, at = flat.astype("<u4").tobytes(), 0
+        for j, (k, end) in enumerate(zip(short, (4 * ends).tolist(), strict=True)):
+            out[k] = _raw(self._with_bytes(flat[at >> 2 : end >> 2].tolist())) if j in odd else raw[at:end]
+            at = end
+        for k, chunk in enumerate(chunks):
+            if len(chunk) > _SHORT:
+                out[k] = _raw(self.encode_chunk(chunk))
+        return out
+
     def encode_chunk(self, chunk: str) -> list[int]:
         ids, start, joined = [], 0, self.joined
         for k in range(1, len(chunk) + 1):
@@ -99,15 +212,19 @@ class PieceCodec:
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes chunks and checks them against the library, which puts a mark before what it is given."""
-        if len(self.chunks) + len(chunks) > _MOST_CHUNKS:
+        new = chunks - self.chunks.keys()
+        if len(self.chunks) + len(new) > _MOST_CHUNKS:
             self.chunks.clear()
-        new = sorted(chunks - self.chunks.keys())
-        for chunk, theirs in zip(new, self.library.encode([c[1:] for c in new], num_threads=1), strict=True):
-            own = self.encode_chunk(chunk)
-            if own != theirs and chunk != MARK:  # the library gives nothing for an empty text, so a lone mark can't be asked
+            self.corrected.clear()
+            new = chunks
+        new = list(new)
+        own = self.encode_chunks(new)
+        for chunk, ids, theirs in zip(new, own, self.library.encode([c[1:] for c in new], num_threads=1), strict=True):
+            theirs = _raw(theirs)
+            if ids != theirs and chunk != MARK:  # the library gives nothing for an empty text, so a lone mark can't be asked
                 self.corrected.add(chunk)
-                own = theirs
-            self.chunks[chunk] = np.array(own, dtype="<u4").tobytes()
+                ids = theirs
+            self.chunks[chunk] = ids
 
     def cut(self, text: str) -> list[str]:
         return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -115,15 +232,12 @@ class PieceCodec:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, int]]:
         """The ids of each text, begin and end included, and how many of its chunks the library corrected."""
         cut = [self.cut(text) for text in texts]
-        self.learn({c for chunks in cut for c in chunks if c not in self.chunks})
-        out, edge = [], (np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes())
+        self.learn(set().union(*cut))
+        out, begin, end = [], _raw([self.begin]), _raw([self.end])
         for chunks in cut:
-            try:
-                inner = b"".join(map(self.chunks.__getitem__, chunks))
-            except KeyError:  # the table was emptied for new chunks
-                inner = b"".join(self.chunks.get(c) or np.array(self.encode_chunk(c), "<u4").tobytes() for c in chunks)
+            inner = b"".join(map(self.chunks.__getitem__, chunks))
             wrong = sum(c in self.corrected for c in chunks) if self.corrected else 0
-            out.append((np.frombuffer(edge[0] + inner + edge[1], "<u4"), wrong))
+            out.append((np.frombuffer(begin + inner + end, "<u4"), wrong))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -184,5 +298,5 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as ids, with their source, decoded text and its agreement with the text they came from."""
+    """doc_id, ids, decoded text and n_corrected (chunks in which the library's ids were taken) of each document."""
     return encode_decode(docs, "piece_bpe_32k.model")

@@ -377,3 +377,24 @@ def test_stages_take_awkward_and_no_rows(spark, odd_docs, no_docs):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd_docs, SF).count() >= 1, name
         assert stage(spark, no_docs, SF).count() == 0, name
+
+
+# --- agenda of many chunks at once, and the emptied table
+
+def test_all_agendas_at_once_give_the_ids_of_each_alone():
+    own = pieces.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(9)
+    letters = list("abcdeilnorst") + ["é", "ß", "本", "\U0001f600", "͸", "'", ".", "▁"]
+    chunks = ["▁" + "".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)] + ["▁", "▁▁▁▁", "▁" + "a" * 500]
+    assert own.encode_chunks(chunks) == [pieces._raw(own.encode_chunk(c)) for c in chunks]
+    assert own.encode_chunks([]) == []
+
+
+def test_every_id_in_use_is_checked_after_the_table_was_emptied(monkeypatch):
+    monkeypatch.setattr(pieces, "_MOST_CHUNKS", 40)
+    own = pieces.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [words(k // 2, 30) for k in range(12)]
+    right = [own.library.encode(t) for t in texts]
+    for text, ids in zip(texts, right, strict=True):
+        assert own.encode([text, texts[0]])[0][0].tolist()[1:-1] == ids
+        assert set(own.cut(text)) | set(own.cut(texts[0])) <= own.chunks.keys()
