@@ -69,7 +69,7 @@ def publish(
         spark.createDataFrame(rows, _ENTRY).coalesce(1).write.json(f"{path}/manifests/version={before + 1:012d}")
     except BaseException:
         for name in datasets:
-            _remove(spark, f"{path}/data/{name}/run={run}")
+            remove(spark, f"{path}/data/{name}/run={run}")
         raise
     _tidy(spark, path, before + 1)
     return before + 1
@@ -114,9 +114,9 @@ def _tidy(spark: SparkSession, path: str, version: int) -> None:
     old = version - _OLDER
     live = {(r.dataset, r.run) for r in rows if r.version >= old}
     for dataset, run in {(r.dataset, r.run) for r in rows if r.version < old} - live:
-        _remove(spark, f"{path}/data/{dataset}/run={run}")
+        remove(spark, f"{path}/data/{dataset}/run={run}")
     for gone in {r.version for r in rows if r.version < old}:
-        _remove(spark, f"{path}/manifests/version={gone:012d}")
+        remove(spark, f"{path}/manifests/version={gone:012d}")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -129,6 +129,6 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in files.listStatus(place))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     files, place = _file_system(spark, path)
     files.delete(place, True)
