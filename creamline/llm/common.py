@@ -9,9 +9,12 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creamline.sources.published import remove
+from creamline.sources.shared import shared_folder
+
 #: Characters that separate words, as a Java and Python class body.
 BLANKS = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,13 +39,34 @@ def ship(spark: SparkSession) -> None:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is set here only where the session has none, as in tests."""
+    """The session's checkpoint folder; one is set here only where a session without a cluster has none, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="creamline-checkpoint-"))
+        context.setCheckpointDir(shared_folder(spark))
     return context.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Removes all that this session has stored or written; for when its results have been read."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        remove(spark, folder)
+
+
+def as_row(docs: DataFrame) -> Column:
+    """A whole input row as one column. Helper columns beside it cannot meet a name of the input's."""
+    return F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row")
+
+
+def row_columns(docs: DataFrame, **instead: Column) -> list[Column]:
+    """The columns of the input, taken out of its row again; some by other values."""
+    return [(instead[c] if c in instead else F.col("row." + _quoted(c))).alias(c) for c in docs.columns]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The frame in the session's checkpoint folder, its lineage cut; for narrow tables that are read again."""
     _shared_folder(frame.sparkSession)

@@ -1,7 +1,7 @@
 """Near-duplicate embeddings with binary codes under random rotations.
 
-A vector is normalised and rotated at random; the signs of its coordinates are its code, and the inner product
-of the rotated vector with its own code is stored as a correction factor. Another rotated vector times the code,
+A vector is normalised and rotated at random, once; the signs of its coordinates are its code, and the inner product
+of the rotated vector with its own code its correction factor. Both are stored with the vector. Another rotated vector times the code,
 over the factor, is an unbiased estimate of the inner product of the two, with a known confidence bound. A pair
 whose bound stays under the threshold is left; every other pair is recomputed exactly in double precision, and
 only the exact value makes a link.
@@ -16,7 +16,8 @@ more; measured recall is in the README. For much larger labels raise both number
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and those of null label,
 link with nothing and are their own component; vectors of different length never link; rows that repeat id and
-vector are vectors of their own; an empty table gives an empty result; other columns are not read.
+vector are vectors of their own, as are different vectors under one id; a component's id is its smallest id that is
+not null, and null where it has none; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -63,20 +64,24 @@ def bands_of(units: np.ndarray) -> np.ndarray:
     return (bits @ (1 << np.arange(BITS))).astype(np.int16)
 
 
-def estimates(units: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of units with others by the codes of the others, and how far they may be off."""
+def codes_of(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The signs of each rotated vector, eight to a byte, and its inner product with its own code."""
+    turned = units @ rotation(units.shape[1], 0).T
+    return np.packbits(turned > 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(units.shape[1])
+
+
+def estimates(units: np.ndarray, codes: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated inner products of units with coded vectors, and how far they may be off."""
     width = units.shape[1]
-    turn = rotation(width, 0)
-    turned, code = units @ turn.T, others @ turn.T
-    factor = np.abs(code).sum(axis=1) / np.sqrt(width)
-    code = np.where(code > 0, 1.0, -1.0) / np.sqrt(width)
+    signs = np.unpackbits(codes, axis=1, count=width) * 2.0 - 1.0
     spread = np.sqrt(np.maximum(1 - factor**2, 0)) / factor
-    return turned @ code.T / factor, CONFIDENCE * spread / np.sqrt(max(width - 1, 1))
+    about = (units @ rotation(width, 0).T) @ signs.T / np.sqrt(width) / factor
+    return about, CONFIDENCE * spread / np.sqrt(max(width - 1, 1))
 
 
-def linked(units: np.ndarray, others: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def linked(units, others, codes, factor, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of the pairs whose exact cosine reaches the threshold, out of those that the bounds leave open."""
-    about, off = estimates(units, others)
+    about, off = estimates(units, codes, factor)
     i, j = np.nonzero(about + off >= threshold)
     exact = np.einsum("ij,ij->i", units[i], others[j])
     return i[exact >= threshold], j[exact >= threshold]
@@ -102,9 +107,12 @@ def _vectors(batch: list, width: int, kind: str) -> np.ndarray:
 
 
 def coded(distinct: DataFrame, kind: str) -> DataFrame:
-    """node, label, width, copies, vector (binary) and keys of each different vector."""
+    """node, label, width, copies, vector (binary), code, factor and keys of each different vector."""
     names = ["node", "label", "width", "copies"]
-    schema = pa.schema([("node", pa.int64()), ("label", pa.string()), ("width", pa.int32()), ("copies", pa.int64()), ("vector", pa.binary()), ("keys", pa.list_(pa.int16()))])
+    schema = pa.schema([
+        ("node", pa.binary()), ("label", pa.string()), ("width", pa.int32()), ("copies", pa.int64()), ("vector", pa.binary()),
+        ("code", pa.binary()), ("factor", pa.float64()), ("keys", pa.list_(pa.int16())),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -112,17 +120,22 @@ def coded(distinct: DataFrame, kind: str) -> DataFrame:
                 batch = whole.slice(start, 4096)
                 width = batch.column("width").to_numpy()
                 values, keys = batch.column("embedding").to_pylist(), [None] * batch.num_rows
+                code, factor = [None] * batch.num_rows, np.zeros(batch.num_rows)
                 for w in np.unique(width).tolist():
                     own = np.flatnonzero(width == w)
-                    for at, k in zip(own.tolist(), bands_of(unit(np.array([values[i] for i in own], dtype=kind))), strict=True):
-                        keys[at] = k
+                    units = unit(np.array([values[i] for i in own], dtype=kind))
+                    signs, factor[own] = codes_of(units)
+                    for at, k, bits in zip(own.tolist(), bands_of(units), signs, strict=True):
+                        keys[at], code[at] = k, bits.tobytes()
                 raw = [np.array(v, dtype=kind).tobytes() for v in values]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).cast(schema.field(c).type) for c in names), pa.array(raw, pa.binary()), pa.array(keys, schema.field("keys").type)], schema=schema
+                    [*(batch.column(c).cast(schema.field(c).type) for c in names), pa.array(raw, pa.binary()),
+                     pa.array(code, pa.binary()), pa.array(factor), pa.array(keys, schema.field("keys").type)], schema=schema
                 )
 
     return map_batches(
-        distinct.select(*names, "embedding"), run, "node long, label string, width int, copies long, vector binary, keys array<short>"
+        distinct.select(*names, "embedding"), run,
+        "node binary, label string, width int, copies long, vector binary, code binary, factor double, keys array<short>"
     )
 
 
@@ -136,14 +149,18 @@ def tiled(codes: DataFrame) -> DataFrame:
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     return rows.select(
-        *bucket, F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "copies", "vector", "keys"
+        *bucket, F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "tile", "node", "copies", "vector", "code", "factor", "keys"
     )
 
 
 def links(tiles: DataFrame, threshold: float, kind: str) -> DataFrame:
     """Rows (a, b, null) for edges and (a, null, n) for links of a to n vectors, of each bucket and pair of tiles."""
     group = ["label", "width", "band", "key", "first", "second"]
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     def compare(name: tuple, rows: list[dict]) -> Iterator[tuple]:
         _, width, band, _, first, second = name
@@ -151,12 +168,13 @@ def links(tiles: DataFrame, threshold: float, kind: str) -> DataFrame:
             return
         units = unit(_vectors([r["vector"] for r in rows], width, kind))
         keys, nodes = np.array([r["keys"] for r in rows]), [r["node"] for r in rows]
+        codes, factor = np.array([np.frombuffer(r["code"], np.uint8) for r in rows]), np.array([r["factor"] for r in rows])
         copies, tile = np.array([r["copies"] for r in rows]), np.array([r["tile"] for r in rows])
         left, right = np.flatnonzero(tile == first), np.flatnonzero(tile == second)
         found = []
         for at in range(0, len(left), 512):
             some = left[at : at + 512]
-            i, j = linked(units[some], units[right], threshold)
+            i, j = linked(units[some], units[right], codes[right], factor[right], threshold)
             i, j = some[i], right[j]
             own = (i < j) if first == second else np.ones(len(i), dtype=bool)
             i, j = i[own], j[own]
@@ -177,15 +195,15 @@ def links(tiles: DataFrame, threshold: float, kind: str) -> DataFrame:
                     out += compare(now, held) if held else ()
                     now, held = name, []
                     if len(out) > 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+                        yield sent(out)
                         out = []
                 held.append(row)
         out += compare(now, held) if held else ()
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+            yield sent(out)
 
     placed = tiles.repartition(*group).sortWithinPartitions(*group, "node")
-    return map_batches(placed, run, "a long, b long, n long")
+    return map_batches(placed, run, "a binary, b binary, n long")
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -200,19 +218,22 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
         F.xxhash64("label", "embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2"),
     )
     same = ["label", "h1", "h2"]
+    name = F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in ("h1", "h2")]))  # of label and content: ids may repeat
     distinct = stored(
         rows.filter("usable").groupBy(*same).agg(
             F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")
-        ).withColumn("node", F.coalesce("least_id", "h1")).withColumn("width", F.size("embedding"))
+        ).withColumn("node", name).withColumn("width", F.size("embedding"))
     )
     found = stored(links(tiled(stored(coded(distinct, kind))), threshold, kind))
     roots = components(found.filter("b IS NOT NULL").select("a", "b"))
     sums = found.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
-    known = (
-        distinct.select(*same, "node", "copies")
+    rooted = (
+        distinct.select(*same, "node", "least_id", "copies")
         .join(roots, "node", "left").join(sums.withColumnRenamed("a", "node"), "node", "left")
-        .select(*same, F.coalesce("root", "node").alias("component"), (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"))
+        .select(*same, "least_id", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"))
     )
+    firsts = rooted.groupBy("root").agg(F.min("least_id").alias("component"))
+    known = rooted.join(firsts, "root").select(*same, "component", "n")
     good = rows.filter("usable").drop("embedding").join(known, same).select("vec_id", F.col("n").alias("n_links"), F.col("component").alias("component_id"))
     return good.unionAll(rows.filter("NOT usable").select("vec_id", F.lit(0).cast("long"), "vec_id"))
 

@@ -102,7 +102,9 @@ class Notice:
         out, end = [], -1
         for low, high in _merged(windows):
             at = max(low, end)
-            while m := self.pattern.search(text, at, min(high, len(text))):
+            stop = text.find(b" ", high)  # the window ends between words, or a hit could end inside one
+            stop = len(text) if stop < 0 else stop
+            while m := self.pattern.search(text, at, stop):
                 edits = sum(m.fuzzy_counts)
                 if self.decided(m.group(), edits):
                     out.append((m.start(), m.end(), edits))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creamline.llm.common import BLANKS, map_batches, stored, table
+from creamline.llm.common import BLANKS, as_row, map_batches, row_columns, stored, table
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 #: Documents that one walk takes on.
@@ -179,17 +179,12 @@ def balanced(rows: DataFrame, most_rows: int, block: int = BLOCK) -> DataFrame:
         blocks, most_blocks = F.ceil(F.col("blocks") * 3 / block), max(1, -(-most_blocks * 3 // block))
 
 
-#: Up to so many sources their table is broadcast; beyond, Spark joins it as it finds best.
-_BROADCAST_SOURCES = 20_000
-
-
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
     """doc_id, source, text_hash, size, source_size, target and copies (how often the mix takes the row)."""
     sized = stored(sizes(docs))
     per = stored(targets(sized, weights, share, most))
-    n_sources, most_rows = per.agg(F.count("*"), F.coalesce(F.max("documents"), F.lit(0))).first()
+    most_rows = per.agg(F.coalesce(F.max("documents"), F.lit(0))).first()[0]
     per = per.withColumnRenamed("source", "its_source")
-    per = F.broadcast(per) if n_sources <= _BROADCAST_SOURCES else per
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most))).otherwise(0.0)
     rows = (
         sized.join(per, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
@@ -204,13 +199,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents, each as often as it is taken; the columns stay as they are."""
-    row = F.xxhash64("doc_id", "source", "text_hash").alias("mix_row")
-    times = mix(docs, **options).groupBy(row, F.col("text_hash").alias("mix_text")).agg(F.sum("copies").cast("int").alias("mix_copies"))
+    keys, text = ["whole_row", "text_hash"], F.xxhash64("text")
+    named = F.xxhash64("doc_id", "source", "text_hash").alias(keys[0])
+    times = mix(docs, **options).groupBy(named, keys[1]).agg(F.sum("copies").cast("int").alias("copies"))
     # both keys are hashes without nulls, so that removing repeated rows and the join share one shuffle of the texts
-    keyed = docs.withColumn("mix_text", F.xxhash64("text")).withColumn("mix_row", F.xxhash64("doc_id", "source", "mix_text"))
+    keyed = docs.select(F.xxhash64("doc_id", "source", text).alias(keys[0]), text.alias(keys[1]), as_row(docs))
     return (
-        keyed.dropDuplicates(["mix_row", "mix_text"]).join(times.filter("mix_copies > 0"), ["mix_row", "mix_text"])
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(*docs.columns)
+        keyed.dropDuplicates(keys).join(times.filter("copies > 0"), keys)
+        .select("row", F.explode(F.sequence(F.lit(1), "copies"))).select(*row_columns(docs))
     )
 
 

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creamline.llm.common import table
+from creamline.llm.common import as_row, row_columns, table
 
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 _PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
@@ -243,8 +243,12 @@ def _of_kind(kind: str):
 
 
 def redacted(docs: DataFrame, weights: dict[str, float], text: str = "text") -> DataFrame:
-    """The rows with every span of their text replaced by its kind in brackets; touching spans become one."""
-    rows = personal_data(docs, weights, text)
+    """The rows with every span of their text replaced by its kind in brackets; touching spans become one.
+
+    All other columns stay as they are, whatever their names.
+    """
+    source = "source_text"
+    rows = personal_data(docs.select(as_row(docs), F.col(text).alias(source)), weights, source)
     spans = F.array_sort(F.transform(F.concat("pii_base", "pii_more"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     body = F.col("pii_text")
 
@@ -261,7 +265,7 @@ def redacted(docs: DataFrame, weights: dict[str, float], text: str = "text") ->
         lambda done: F.concat(F.array_join(done["out"], ""), F.substring(body, (done["at"] + 1).cast("int"), F.length(body))),
     )
     some = F.size("pii_base") + F.size("pii_more") > 0
-    return rows.withColumn(text, F.when(some, whole).otherwise(F.col(text))).select(*docs.columns)
+    return rows.select(*row_columns(docs, **{text: F.when(some, whole).otherwise(F.col(source))}))
 
 
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,4 +280,5 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts gives way to its kind; n_chars counts the new text."""
-    return redacted(docs, fit(docs)).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    length = F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return redacted(docs, fit(docs)).withColumn("n_chars", length)

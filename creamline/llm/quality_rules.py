@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creamline.llm.common import labelled_sample, map_batches, map_rows, table
+from creamline.llm.common import as_row, labelled_sample, map_batches, map_rows, row_columns, table
 
 SYMBOLS = b"#*$%&|<>"
 BLANK_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -234,14 +234,14 @@ def quality_rules(docs: DataFrame, field: LineField) -> DataFrame:
 
 def keep_good(docs: DataFrame, field: LineField) -> DataFrame:
     """The documents that pass, all columns as they were."""
-    names = docs.columns
+    rows = docs.select(as_row(docs))
 
     def run(batches):
         for batch in batches:
-            kept = [judge(v.as_py() or "", field)["kept"] for v in batch.column(names.index("text"))]
+            kept = [judge(v.as_py() or "", field)["kept"] for v in batch.column(0).field("text")]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return map_batches(docs, run, docs.schema)
+    return map_batches(rows, run, rows.schema).select(*row_columns(docs))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

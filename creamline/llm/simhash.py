@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creamline.llm.common import LOWER, UPPER, map_batches, map_rows, stored, table
+from creamline.llm.common import LOWER, UPPER, as_row, map_batches, map_rows, row_columns, stored, table
 from creamline.llm.components import components
 
 BITS, SEED = 64, 42
@@ -178,13 +178,15 @@ def keep_one(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
 
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents that found (doc_id, text_hash, component_id, first_hash) names as the first of a component."""
+    keys = ["id_and_text", "text_hash"]
     kept = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash")))
-        .select(F.xxhash64("doc_id", "text_hash").alias("kept_row"), F.col("text_hash").alias("kept_text")).distinct()
+        .select(F.xxhash64("doc_id", "text_hash").alias(keys[0]), keys[1]).distinct()
     )
     # both keys are hashes without nulls, so that the join and removing repeated rows share one shuffle of the texts
-    keyed = docs.withColumn("kept_text", F.xxhash64("text")).withColumn("kept_row", F.xxhash64("doc_id", "kept_text"))
-    return keyed.join(kept, ["kept_row", "kept_text"], "left_semi").dropDuplicates(["kept_row", "kept_text"]).select(*docs.columns)
+    text = F.xxhash64("text")
+    keyed = docs.select(F.xxhash64("doc_id", text).alias(keys[0]), text.alias(keys[1]), as_row(docs))
+    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select(*row_columns(docs))
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

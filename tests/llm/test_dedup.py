@@ -194,7 +194,7 @@ def test_embedding_links_are_those_of_all_pairs(spark, monkeypatch, tile):
 def test_estimates_hold_their_bounds():
     rng = np.random.default_rng(1)
     units = embedding_dedup.unit(rng.standard_normal((300, 64)))
-    about, off = embedding_dedup.estimates(units, units)
+    about, off = embedding_dedup.estimates(units, *embedding_dedup.codes_of(units))
     miss = about - units @ units.T
     assert abs(miss[~np.eye(300, dtype=bool)].mean()) < 0.01
     assert (np.abs(miss) <= off + 1e-9).mean() > 0.999
@@ -203,3 +203,16 @@ def test_estimates_hold_their_bounds():
 def test_embeddings_of_no_rows(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(frame).count() == 0
+
+
+# --- embeddings: repeated and null ids
+
+def test_vectors_under_one_id_or_none_stay_apart(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [
+        (3, "m", a), (3, "l", b), (1, "m", [1.0, 0.01, 0.0]), (2, "l", [0.01, 1.0, 0.0]),
+        (None, "m", [1.0, 0.02, 0.0]), (None, "x", c), (None, "x", c), (7, "x", a), (None, None, a),
+    ]
+    frame = spark.createDataFrame([(*r, 1, "n") for r in rows], "vec_id long, label string, embedding array<double>, node int, component string")
+    got = Counter(map(tuple, embedding_dedup.near_duplicates(frame).collect()))
+    assert got == Counter([(3, 2, 1), (1, 2, 1), (None, 2, 1), (3, 1, 2), (2, 1, 2), (None, 1, None), (None, 1, None), (7, 0, 7), (None, 0, None)])

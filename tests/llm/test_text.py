@@ -398,3 +398,53 @@ def test_every_id_in_use_is_checked_after_the_table_was_emptied(monkeypatch):
     for text, ids in zip(texts, right, strict=True):
         assert own.encode([text, texts[0]])[0][0].tolist()[1:-1] == ids
         assert set(own.cut(text)) | set(own.cut(texts[0])) <= own.chunks.keys()
+
+
+# --- licences: word ends and ties
+
+@pytest.mark.parametrize("text", [
+    "released under the mit licensexyzabc", "released under the mit licenseabcdefgh foo", "licensed under cc by nc 4 0123456",
+    "foo released under the mit licensexyzabcdef released", "xreleased under the mit licenseabcd",
+])
+def test_a_hit_ends_where_a_word_ends(text):
+    spans = licenses.scan(text, licenses.notices())["spans"]
+    assert all(s["end"] - s["start"] < 12 and s["edits"] <= 3 for s in spans)
+    assert not {s["label"] for s in spans} & {"mit", "cc-by-nc"}
+
+
+def test_a_long_word_before_a_notice_does_not_hide_it():
+    found = licenses.scan("a" * 5000 + " released under the mit license " + "b" * 5000, licenses.notices())
+    assert [(s["label"], s["start"], s["end"], s["edits"]) for s in found["spans"]] == [("mit", 1, 6, 0)]
+
+
+def test_overlapping_notices_of_equal_edits_both_count():
+    own = licenses.notices([("one", "some rights are kept here"), ("two", "some rights are left here")])
+    spans = licenses.scan("some rights are k3pt h3re some rights are xxft here", own)["spans"]
+    assert {s["label"] for s in spans} <= {"one", "two"} and spans
+    tie = licenses.scan("some rights are keft here", own)["spans"]
+    assert sorted((s["label"], s["edits"]) for s in tie) == [("one", 1), ("two", 1)]
+
+
+# --- stages: no column of the input is touched but the stage's own
+
+CLASHES = (
+    "pii_text", "pii_digit", "pii_base", "pii_more", "pii_m_email", "mix_copies", "mix_row", "mix_text", "mix_copy", "kept_row", "kept_text",
+    "row", "source_text", "copies", "text_hash", "whole_row", "id_and_text", "runs", "root", "fp0", "size", "p", "node", "label", "key", "TEXT_hash2", "a.b",
+)
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_leave_other_columns_alone(spark, labels, number, tmp_path):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"{words(i, 60)} mail bob{i}@example.org now", "en", f"s{i % 2}", 9) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} keeps mail eve@example.org "), F.col("doc_id").cast("string")) for c in CLASHES})
+    out = corpus_pipeline.STAGES[number][1](spark, docs, SF)
+    if number < 4:
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert all(r[c] == f"{c} keeps mail eve@example.org {r.doc_id}" for c in CLASHES)
+    else:
+        assert out.count() == 12
