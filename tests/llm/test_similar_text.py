@@ -2,7 +2,9 @@
 
 import random
 
+import pytest
 from odd_rows import DOCUMENT, SF, awkward
+from pyspark.sql import functions as F
 from test_dedup import FOLD, Classes
 
 from creamline.llm import simhash, similar_text
@@ -42,7 +44,8 @@ def test_pairs_of_the_stage_are_those_of_the_shingles(spark):
     assert sum(k + 1 not in kept for k in linked) >= 0.99 * len(linked)
 
 
-def test_stage_on_awkward_rows_and_a_crowd(spark):
+@pytest.mark.parametrize("tile", [similar_text.TILE, 7])
+def test_stage_on_awkward_rows_and_a_crowd(spark, tile):
     rng = random.Random(9)
     body = [f"w{rng.randrange(10**6)}" for _ in range(300)]
     crowd = []
@@ -62,6 +65,58 @@ def test_stage_on_awkward_rows_and_a_crowd(spark):
         if r[0] is not None:
             root = classes.find(i)
             first[root] = min(first.get(root, r[0]), r[0])
-    found = similar_text.near_copies(spark.createDataFrame(rows, DOCUMENT)).collect()
+    found = similar_text.near_copies(spark.createDataFrame(rows, DOCUMENT), tile=tile).collect()
     want = sorted((r[0] or -1, first[classes.find(i)]) for i, r in enumerate(rows))
     assert sorted((r.doc_id or -1, r.component_id) for r in found) == want
+
+
+def chained_rows(n):
+    """Texts of which each is linked to the next only, so that no tile sees a whole component; and one far copy."""
+    rng = random.Random(3)
+    body = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for k in range(n):
+        body[(k * 6) % 120] = f"y{k}"
+        rows.append((k, " ".join(body), "en", "s", 1))
+    return rows
+
+
+def test_tiles_find_the_components_that_one_task_would(spark):
+    docs = spark.createDataFrame(chained_rows(60), DOCUMENT)
+    found = {r.doc_id: r.component_id for r in similar_text.near_copies(docs, tile=5).collect()}
+    assert found == {r.doc_id: r.component_id for r in similar_text.near_copies(docs, tile=1000).collect()}
+
+
+def test_a_crowd_gives_few_edges_a_text(spark):
+    rng = random.Random(4)
+    body = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for k in range(600):
+        near = list(body)
+        for at in rng.sample(range(200), 3):
+            near[at] = f"x{k}"
+        rows.append((k, " ".join(near), "en", "s", 1))
+    prints = similar_text.sketches(spark.createDataFrame(rows, DOCUMENT)).drop("doc_id", "text_hash").withColumnRenamed("root", "r")
+    rooted, edges = prints.withColumn("root", F.col("runs")), 0
+    for first, end in similar_text.PASSES:
+        keyed = similar_text.variants(rooted, first, end).repartition("bucket").sortWithinPartitions("bucket", "runs")
+        edges += similar_text.candidates(keyed).distinct().count()
+        rooted = similar_text.candidate_roots(prints) if first == 0 else rooted
+    assert rooted.select("root").distinct().count() == 1
+    assert edges < 3 * 600
+
+
+def test_recall_on_given_documents(spark, docs):
+    """Every pair of texts of the table that exact similarity links is in one component."""
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(frozenset(runs(r.text)), r.doc_id)
+    where = {}
+    for number, found in enumerate(texts):
+        for run in found:
+            where.setdefault(run, []).append(number)
+    sets, names = list(texts), list(texts.values())
+    pairs = {(a, b) for same in where.values() if len(same) < 50 for i, a in enumerate(same) for b in same[i + 1 :]}
+    links = [(names[a], names[b]) for a, b in pairs if similarity(sets[a], sets[b]) >= 0.8]
+    roots = {r.doc_id: r.component_id for r in similar_text.near_copies(docs).collect()}
+    assert all(roots[a] == roots[b] for a, b in links)
