@@ -18,22 +18,27 @@ def pivot_results(
     name: str = "test_parameter_name",
     value: str = "aggregated_value",
     exact: bool = False,
+    beside: Mapping[str, Column] | None = None,
+    given: Sequence[str] = (),
 ) -> DataFrame:
     """One column per label holding the greatest value; every other column is a key.
 
     The keys are taken from the frame, so two rows that differ anywhere else stay apart. Rows with
-    an unlisted name still make their group appear. The fixed label list saves the job that would
-    look for distinct names. ``exact`` skips folding names that are already spelled like the labels.
+    an unlisted name still make their group appear. ``exact`` skips folding names that are already
+    spelled like the labels. ``beside`` are further aggregates of a group, over the columns ``given``
+    for them, which are no keys.
+
+    One aggregation with a maximum per label, not Spark's pivot, which groups twice and shuffles in
+    between: a group's rows are combined to one wide row before the only shuffle.
     """
-    keys = [c for c in frame.columns if c not in (name, value)]
+    keys = [c for c in frame.columns if c not in (name, value, *given)]
     by_fold = {label if exact else label.lower(): label for label in labels}
-    wide = (
-        frame.withColumn(_LABEL, F.col(name) if exact else folded(F.col(name)))
-        .groupBy(*keys)
-        .pivot(_LABEL, list(by_fold))
-        .agg(F.max(value))
-    )
-    return wide.select(*keys, *[F.col(f"`{fold}`").alias(label) for fold, label in by_fold.items()])
+    named = frame.withColumn(_LABEL, F.col(name) if exact else folded(F.col(name)))
+    measures = [
+        F.max(F.when(F.col(_LABEL) == fold, F.col(value))).alias(label) for fold, label in by_fold.items()
+    ]
+    more = [col.alias(title) for title, col in (beside or {}).items()]
+    return named.groupBy(*keys).agg(*measures, *more)
 
 
 def spelled_like(test_parameter: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -52,19 +57,21 @@ def pivot_by_line(
     labels: Sequence[str],
     value: Column,
     keys: Mapping[str, Column],
+    beside: Mapping[str, Column] | None = None,
+    given: Sequence[str] = (),
 ) -> DataFrame:
     """First stage of a pivot: names the results and gives one row per order line and ``keys``.
 
     Results of a line are stored together, so most of the work happens before the shuffle, and a
     line with very many results is spread by its keys instead of being sent to one task. Results
-    with an unknown parameter count like unlisted ones.
+    with an unknown parameter count like unlisted ones. ``beside`` and ``given`` as in ``pivot_results``.
     """
     named = name_parameters(results, spelled_like(test_parameter, labels))
     rows = named.select(
         "commercial_order_line_id", "test_parameter_name", value.alias("aggregated_value"),
-        *[col.alias(name) for name, col in keys.items()],
+        *[col.alias(name) for name, col in keys.items()], *given,
     )
-    return pivot_results(rows, labels, exact=True)
+    return pivot_results(rows, labels, exact=True, beside=beside, given=given)
 
 
 def merge_pivoted(frame: DataFrame, labels: Sequence[str]) -> DataFrame:

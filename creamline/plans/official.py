@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from creamline.functions.dates import ReportWindow, between_dates, local_date
 from creamline.functions.text import has_text, seq_right
 from creamline.operators.aggregates import average_or_collapse, collapse_by_key
-from creamline.operators.completion import (
-    completed_in_window,
-    expand_to_samples,
-    samples_with_items,
-)
+from creamline.operators.completion import completed_in_window, expand_to_samples
 from creamline.operators.filters import find_complete, find_incomplete, require_columns, slice_by
-from creamline.operators.joins import Tables, enrich_lines, enrich_results
-from creamline.operators.layout import present
+from creamline.operators.joins import Tables, enrich_lines, enrich_results, fill_from_lookup
+from creamline.operators.layout import present, with_text_null
 from creamline.operators.ordering import with_place
 from creamline.operators.pivots import merge_pivoted
 from creamline.plans.rules import (
@@ -26,7 +22,17 @@ from creamline.plans.rules import (
     OFFICIAL_REPORT_TESTS,
     LabRules,
 )
-from creamline.plans.steps import COMPLETION_STATE, IDENTIFIED, measured_lines, report_lines, shared_rows, with_technician
+from creamline.plans.steps import (
+    COMPLETION_STATE,
+    IDENTIFIED,
+    TECHNICIAN_SETS,
+    gathered_technicians,
+    lines_of_bar_codes,
+    measured_lines,
+    report_lines,
+    shared_rows,
+    technician_sets,
+)
 
 AVERAGED = ("Bacteria Count", "Somatic cells", "Freezing point")
 
@@ -94,6 +100,39 @@ def official_pivot(
     rules: LabRules = DEFAULT_RULES,
 ) -> DataFrame:
     """One row per sample, item, official flag and validation time, with the five measures."""
+    lines = _shown_lines(tables, window, slice_kind, slice_value, rules)
+    measured = measured_lines(
+        tables, tables["reportable_result"], lines, OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
+        {"result_validation_date": F.col("result_validation_date")}, rules,
+    )
+    return _merged(measured, lines)
+
+
+def pivot_and_technicians(
+    tables: Tables,
+    window: ReportWindow,
+    slice_kind: str | None = None,
+    slice_value: str | None = None,
+    rules: LabRules = DEFAULT_RULES,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`official_pivot`, and the technicians (bar_code, operator_code) of its bar codes, from one scan of results.
+
+    A technician may have tested any order line of the bar code, so the scan covers all of them; the join with
+    the report's lines drops the others' measures.
+    """
+    lines = _shown_lines(tables, window, slice_kind, slice_value, rules)
+    every = report_lines(lines_of_bar_codes(tables, lines.select("bar_code").distinct()), rules)
+    beside, given = technician_sets(rules)
+    measured = shared_rows(measured_lines(
+        tables, tables["reportable_result"], every, OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
+        {"result_validation_date": F.col("result_validation_date")}, rules, beside, given,
+    ), rules)
+    return _merged(measured.drop(TECHNICIAN_SETS), lines), gathered_technicians(measured, every, tables, rules)
+
+
+def _shown_lines(
+    tables: Tables, window: ReportWindow, slice_kind: str | None, slice_value: str | None, rules: LabRules
+) -> DataFrame:
     lines = expand_to_samples(
         eligible_lines(tables, window, rules),
         tables["commercial_order_line"],
@@ -102,11 +141,10 @@ def official_pivot(
     )
     lines = require_columns(enrich_lines(lines, tables), IDENTIFIED)
     lines = slice_by(lines, slice_kind, slice_value, tables)
-    lines = report_lines(sample_columns(lines, "commercial_item"), rules)
-    measured = measured_lines(
-        tables, tables["reportable_result"], lines, OFFICIAL_MEASURES, OFFICIAL_REPORT_TESTS,
-        {"result_validation_date": F.col("result_validation_date")}, rules,
-    )
+    return report_lines(sample_columns(lines, "commercial_item"), rules)
+
+
+def _merged(measured: DataFrame, lines: DataFrame) -> DataFrame:
     rows = enrich_results(measured, lines)
     return merge_pivoted(rows.drop("commercial_order_line_id"), OFFICIAL_MEASURES)
 
@@ -134,7 +172,7 @@ def official_report(
     anything else lists complete rows.
     """
     window = between_dates(first, last)
-    pivoted = official_pivot(tables, window, slice_kind, slice_value, rules)
+    pivoted, technicians = pivot_and_technicians(tables, window, slice_kind, slice_value, rules)
     chosen = (mode or "").rstrip(" ").lower()
     if chosen == "raw":
         rows = collapse_by_key(official_rows(pivoted).drop("commercial_item"), ["bar_code"])
@@ -143,7 +181,7 @@ def official_report(
             pivoted.drop("commercial_item"), rules.averaged_regions, AVERAGED,
             strict=rules.strict_numbers,
         )
-    rows = with_technician(rows, tables, rules, _eligible_bar_codes(tables, window, rules))
+    rows = fill_from_lookup(with_text_null(rows, "lab_tech"), technicians, "bar_code", "operator_code", "lab_tech")
     if chosen == "all":
         rows = find_incomplete(rows, _TEXTS, _OTHERS)
     elif chosen != "raw":
@@ -153,10 +191,3 @@ def official_report(
         rest = [F.col(f"`{c}`") for c in report.columns if c not in SORT]
         return with_place(report, [*SORT, *rest], lambda frame: shared_rows(frame, rules), place)
     return report.orderBy(*SORT) if sort else report
-
-
-def _eligible_bar_codes(tables: Tables, window: ReportWindow, rules: LabRules) -> DataFrame:
-    """Bar codes the report can show, whatever its slice."""
-    samples = samples_with_items(eligible_lines(tables, window, rules), rules.official_items)
-    own = tables["sample"].withColumnRenamed("id", "sample_id")
-    return own.join(samples, "sample_id", "left_semi").select("bar_code").distinct()

@@ -66,6 +66,8 @@ def measured_lines(
     official_tests: Sequence[str],
     keys: Mapping[str, Column],
     rules: LabRules,
+    beside: Mapping[str, Column] | None = None,
+    given: Sequence[str] = (),
 ) -> DataFrame:
     """Coded results of these lines, pivoted per order line, official flag and ``keys``.
 
@@ -74,7 +76,7 @@ def measured_lines(
     official = flag_official(F.col("commercial_test_code"), official_tests)
     return pivot_by_line(
         near_lines(results, lines, rules.filter_bits), tables["test_parameter"], labels,
-        code_results(F.col("aggregated_value")), {"is_official": official, **keys},
+        code_results(F.col("aggregated_value")), {"is_official": official, **keys}, beside, given,
     )
 
 
@@ -137,6 +139,37 @@ def sheet_rows(
     return enrich_results(measured, lines.drop(_ITEM)).drop("commercial_order_line_id")
 
 
+#: The result sets of a line's technician test, gathered beside its measures.
+TECHNICIAN_SETS = "technician_sets"
+
+
+def technician_sets(rules: LabRules) -> tuple[dict[str, Column], list[str]]:
+    """What ``measured_lines`` needs to gather them: the aggregate, and the columns given for it."""
+    tested = F.col("commercial_parameter_code") == rules.technician_parameter
+    gathered = F.collect_set(F.when(tested, F.col("result_set_sequence_no")))
+    return {TECHNICIAN_SETS: gathered}, ["commercial_parameter_code", "result_set_sequence_no"]
+
+
+def gathered_technicians(measured: DataFrame, lines: DataFrame, tables: Tables, rules: LabRules) -> DataFrame:
+    """(bar_code, operator_code) by the gathered sets of measured lines; lines have line ids and bar codes."""
+    known = tables["test_parameter"].filter(F.col("test_parameter_code") == rules.technician_parameter)
+    sets = measured.select(
+        "commercial_order_line_id", F.explode(TECHNICIAN_SETS).alias("sequence_number"),
+        F.lit(rules.technician_parameter).alias("test_parameter_code"),
+    )
+    return (
+        sets.join(known, "test_parameter_code", "left_semi").join(lines, "commercial_order_line_id")
+        .join(tables["result_set"], "sequence_number").select("bar_code", "operator_code")
+    )
+
+
+def lines_of_bar_codes(tables: Tables, bar_codes: DataFrame) -> DataFrame:
+    """(commercial_order_line_id, bar_code) of every order line of samples with these bar codes."""
+    samples = tables["sample"].select(F.col("id").alias("sample_id"), "bar_code")
+    lines = tables["commercial_order_line"].select(F.col("id").alias("commercial_order_line_id"), "sample_id")
+    return lines.join(samples.join(bar_codes, "bar_code", "left_semi"), "sample_id").drop("sample_id")
+
+
 def with_technician(
     frame: DataFrame, tables: Tables, rules: LabRules, bar_codes: DataFrame
 ) -> DataFrame:

@@ -194,7 +194,9 @@ def test_filters_reach_the_scan(spark, lab, tmp_path):
     plan = plan_of(official.official_report(loaded, FIRST, LAST))
     assert "GreaterThanOrEqual(result_validation_date" in plan
     assert "IsNotNull(tank)" in plan
-    assert "EqualTo(commercial_parameter_code,UM0004ZH)" in plan
+    technician = "EqualTo(commercial_parameter_code,UM0004ZH)"
+    assert technician not in plan  # technicians come from the scan of the measures
+    assert technician in plan_of(alerts.immediate_response(loaded, "Bacteria Count", 30, NOW))
 
 
 def test_bucketed_results_are_not_shuffled(spark, lab, tmp_path):
