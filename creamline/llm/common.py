@@ -74,10 +74,14 @@ def stored(frame: DataFrame) -> DataFrame:
 
 
 def written(frame: DataFrame) -> DataFrame:
-    """The frame as Parquet below the session's checkpoint folder, read again; for whole documents."""
+    """The frame as Parquet below the session's checkpoint folder, read again; for whole documents, and in loops.
+
+    Nothing of the plan is left, while a checkpoint keeps what Spark has inferred of equal columns, which
+    doubles with every round of a loop.
+    """
     path = f"{_shared_folder(frame.sparkSession)}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def map_rows(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creamline.llm.common import stored
+from creamline.llm.common import written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -17,12 +17,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge (a, b) between different nodes; root is the smallest node reachable.
 
     Every round hangs each node's larger neighbours, then its smaller ones, on its smallest neighbour, until
-    nothing changes. A round's edges are stored, so that lineage stays short; only two numbers reach the driver.
-    The minimum of a node is combined before its shuffle, stored and joined back, so that the join of a node with very
+    nothing changes. A round's edges are written, so that lineage stays short; only two numbers reach the driver.
+    The minimum of a node is combined before its shuffle, written and joined back, so that the join of a node with very
     many edges can be split: no node's edges are gathered.
     An empty table of edges gives an empty result.
     """
-    now = stored(
+    now = written(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
     )
     mark = _mark(now)
@@ -30,11 +30,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        below = stored(large.groupBy("hi").agg(F.min("lo").alias("m")))
+        below = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(below, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        after = stored(small.unionAll(below.select("hi", F.col("m").alias("lo"))).distinct())
+        after = written(small.unionAll(below.select("hi", F.col("m").alias("lo"))).distinct())
         mark, before = _mark(after), mark
         now = after
         if mark == before:
