@@ -1,9 +1,11 @@
 """Quality rules with line labelling: a linear-chain conditional random field marks each line as content or
 boilerplate by Viterbi decoding, and the share of content decides whether the document stays.
 
-The field has two states, a weight for each line feature and state, a weight for each change of state, and is
-trained here by maximum likelihood (forward-backward, Adam) on the lines of a bounded sample of labelled
-documents, each line carrying its document's quality. One task of narrow work per input partition: no shuffle.
+The field has two states, a weight for each line feature and state, a weight for each change of state. Labels are
+of documents, so the states of lines are hidden in training: in turn, every line gets the state that the field finds
+likeliest among those that agree with its document's label (most of a good document's words are content, few of a
+bad one's), and the field is fitted to these states by maximum likelihood (forward-backward, Adam). So a good
+document may have boilerplate lines and a bad one content. One task of narrow work per input partition: no shuffle.
 
 Defined results: a null text is an empty one; a text without words has no lines, fails the base rules and has
 content share 0; repeated rows are judged alike; without labels of both kinds fixed starting weights are used;
@@ -28,6 +30,13 @@ _UPPER, _DIGIT = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
 FEATURES = 13
 #: Most labelled documents that the field is trained on, and their greatest length in bytes.
 TRAIN_DOCS, TRAIN_BYTES = 3000, 200_000
+#: Share of words in content lines that a document's label asks for: of a good one at least, of a bad one at most.
+GOOD_SHARE, BAD_SHARE = 0.7, 0.3
+#: Decay of the weights of features, changes of state and first states. Labels are of whole documents, so changes look
+#: rarer than they are; their weights are held small, that a line may differ from its neighbours.
+DECAY = (1e-4, 5e-2, 5e-2)
+#: How often the states of the training lines are chosen anew.
+ROUNDS = 4
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_CONTENT = 50, 50, 0.5
 
 
@@ -138,26 +147,57 @@ def _gradient(field: LineField, x: np.ndarray, mask: np.ndarray, y: np.ndarray):
     return emit, move, (truth[:, 0] - at[:, 0]).sum(axis=0)
 
 
+def agreeing_states(x: np.ndarray, label: int, field: LineField) -> list[int]:
+    """The likeliest states of a document's lines whose share of content agrees with its label.
+
+    The scores of content are raised or lowered by one number for all lines, the least that is needed.
+    """
+    scores, words = x @ field.emit, np.expm1(4 * x[:, 1])
+
+    def states(lift: float) -> tuple[list[int], bool]:
+        found = viterbi(scores + (0.0, lift), field)
+        share = float(words @ np.array(found)) / float(words.sum())
+        return found, share >= GOOD_SHARE if label else share <= BAD_SHARE
+
+    found, agrees = states(0.0)
+    if agrees:
+        return found
+    sign, low, high = (1.0 if label else -1.0), 0.0, 1.0
+    while not (tried := states(sign * high))[1]:
+        low, high = high, 2 * high
+    found = tried[0]
+    for _ in range(10):
+        tried, agrees = states(sign * (low + high) / 2)
+        if agrees:
+            found, high = tried, (low + high) / 2
+        else:
+            low = (low + high) / 2
+    return found
+
+
 def train(documents: list[np.ndarray], labels: list[int], epochs: int = 12, at_once: int = 64) -> LineField:
-    """Fits the field; reruns on the same documents agree."""
+    """Fits the field to hidden states of lines; reruns on the same documents agree."""
     pairs = sorted(((d, y) for d, y in zip(documents, labels, strict=True) if len(d)), key=lambda p: len(p[0]))
     if len({y for _, y in pairs}) < 2:
         return LineField.start()
     field, rng = LineField.start(), np.random.default_rng(6)
     state = [[np.zeros_like(w), np.zeros_like(w)] for w in (field.emit, field.move, field.first)]
     starts, step = list(range(0, len(pairs), at_once)), 0
-    for _ in range(epochs):
+    for epoch in range(epochs):
+        if epoch % max(1, epochs // ROUNDS) == 0:
+            hidden = [agreeing_states(d, label, field) for d, label in pairs]
         for start in rng.permutation(starts):
             some = pairs[start : start + at_once]
             longest = max(len(d) for d, _ in some)
             x, mask = np.zeros((len(some), longest, FEATURES)), np.zeros((len(some), longest), dtype=bool)
             y = np.zeros((len(some), longest))
-            for i, (d, label) in enumerate(some):
-                x[i, : len(d)], mask[i, : len(d)], y[i, : len(d)] = d, True, label
+            for i, (d, _) in enumerate(some):
+                x[i, : len(d)], mask[i, : len(d)], y[i, : len(d)] = d, True, hidden[start + i]
             step += 1
             updated = []
-            for w, g, (m, v) in zip((field.emit, field.move, field.first), _gradient(field, x, mask, y), state, strict=True):
-                g = g / mask.sum() - 1e-4 * w
+            weights = (field.emit, field.move, field.first)
+            for w, g, decay, (m, v) in zip(weights, _gradient(field, x, mask, y), DECAY, state, strict=True):
+                g = g / mask.sum() - decay * w
                 m[...] = 0.9 * m + 0.1 * g
                 v[...] = 0.999 * v + 0.001 * g * g
                 updated.append(w + 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8))

@@ -448,3 +448,48 @@ def test_stages_leave_other_columns_alone(spark, labels, number, tmp_path):
             assert all(r[c] == f"{c} keeps mail eve@example.org {r.doc_id}" for c in CLASHES)
     else:
         assert out.count() == 12
+
+
+# --- hidden line states
+
+def planted_documents(n, seed):
+    """Texts of prose lines, with menu lines planted among a good one's; a bad one is menu lines for the most part."""
+    rng, out = np.random.default_rng(seed), []
+    menu = lambda k: f"| Home{k % 7} | *** {words(k, 2)} ### | $$ {words(k + 1, 1)} | >> |"
+    for d in range(n):
+        good, lines, marks = d % 3 > 0, [], []
+        for k in range(int(rng.integers(8, 25))):
+            planted = rng.random() < (0.12 if good else 0.9)
+            lines.append(menu(int(rng.integers(1e6))) if planted else words(int(rng.integers(1e6)), 14) + ".")
+            marks.append(int(not planted))
+        out.append(("\n".join(lines), int(good), marks))
+    return out
+
+
+def test_planted_lines_are_marked_and_their_neighbours_are_not():
+    train, held = planted_documents(150, 1), planted_documents(60, 2)
+    field = quality_rules.train([quality_rules.features_of(t.encode()) for t, _, _ in train], [y for _, y, _ in train])
+    right = wrong = missed = mixed = 0
+    for text, good, marks in held:
+        if not good:
+            continue
+        states = quality_rules.viterbi(quality_rules.features_of(text.encode()) @ field.emit, field)
+        right += sum(s == 0 and m == 0 for s, m in zip(states, marks, strict=True))
+        wrong += sum(s == 0 and m == 1 for s, m in zip(states, marks, strict=True))
+        missed += sum(s == 1 and m == 0 for s, m in zip(states, marks, strict=True))
+        mixed += 0 < sum(states) < len(states)
+    assert right / (right + wrong) > 0.95 and right / (right + missed) > 0.95 and mixed > 25
+    good = [quality_rules.judge(text, field) for text, y, _ in held if y]
+    assert all(j["kept"] for j in good if not j["base_failed"]) and any(0.5 < j["content_share"] < 1 for j in good)
+
+
+def test_states_agree_with_the_label_of_the_document():
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        n = int(rng.integers(1, 12))
+        x = rng.random((n, quality_rules.FEATURES))
+        field = quality_rules.LineField(rng.standard_normal((quality_rules.FEATURES, 2)), rng.standard_normal((2, 2)), rng.standard_normal(2))
+        size = np.expm1(4 * x[:, 1])
+        for label in (0, 1):
+            share = size @ np.array(quality_rules.agreeing_states(x, label, field)) / size.sum()
+            assert share >= quality_rules.GOOD_SHARE if label else share <= quality_rules.BAD_SHARE
