@@ -493,3 +493,86 @@ def test_states_agree_with_the_label_of_the_document():
         for label in (0, 1):
             share = size @ np.array(quality_rules.agreeing_states(x, label, field)) / size.sum()
             assert share >= quality_rules.GOOD_SHARE if label else share <= quality_rules.BAD_SHARE
+
+
+# --- plain versions of the classifier's scoring and of the pipeline
+
+def plain_places(raw):
+    """The buckets of words and n-grams, one by one."""
+    odd, mask = int(quality_model._ODD), (1 << 64) - 1
+    place = lambda code: ((code * int(quality_model._MIX)) & mask) >> (64 - 17)
+    own, out = raw.split(), []
+    line = b" " + b" ".join(own) + b" "
+    for n in quality_model.NGRAMS:
+        for i in range(len(line) - n + 1):
+            gram = line[i : i + n]
+            if own and b" " not in gram[1:-1]:
+                code = 0
+                for byte in gram:
+                    code = (code * odd + byte + 1) & mask
+                out.append(place((code + n) & mask))
+    before = None
+    for word in own:
+        code = sum(byte * pow(odd, j, 1 << 64) for j, byte in enumerate(b" " + word)) & mask
+        out += [place((code + 1) & mask)] + [int(quality_model._AGAIN)] * 4 * (code == before)
+        before = code
+    return out
+
+
+@pytest.mark.parametrize("text", ["", " \n", "a", "ab ab ab", "Ein Wort, zwei W\u00f6rter. zwei zwei", words(5, 60), "x" * 300])
+def test_scores_are_those_of_a_plain_version(text):
+    rng = np.random.default_rng(4)
+    model = quality_model.QualityModel(rng.standard_normal(quality_model.BUCKETS).astype(np.float32), 0.3)
+    places = plain_places(text.encode())
+    assert Counter(quality_model.buckets(text.encode()).tolist()) == Counter(places)
+    mean = sum(float(model.numbers[p]) for p in places) / len(places) if places else 0.0
+    assert model.score(text) == pytest.approx(1 / (1 + np.exp(-(0.3 + mean))), abs=1e-9)
+
+
+def test_pipeline_equals_a_plain_one(spark, docs, labels):
+    """Up to the draw of the mix: which documents it takes is random, how many words of each source is not."""
+    import corpus_pipeline
+    from test_similar_text import runs, similarity
+
+    field = quality_rules.fit(docs, labels)
+    good = [r for r in docs.collect() if quality_rules.judge(r.text or "", field)["kept"]]
+    first = {}
+    for r in sorted(good, key=lambda r: r.doc_id):  # in order, so the first of a class is met before the others
+        own = runs(r.text)
+        same = {root for root, sets in first.items() if any(similarity(own, s) >= 0.8 for s in sets)}
+        root = min(same, default=r.doc_id)
+        first[root] = [own] + [s for k in same for s in first.pop(k)]
+    kept = {r.doc_id: r for r in good if r.doc_id in first}
+    frame = spark.createDataFrame(list(kept.values()), docs.schema)
+    texts = {}
+    for r in pii.personal_data(frame, pii.fit(frame)).collect():
+        spans, text, at = sorted((s.start, s.end, s.kind) for s in [*r.pii_base, *r.pii_more]), "", 0
+        for start, end, kind in spans:
+            if start >= at:
+                text += r.pii_text[at:start] + f"[{kind.upper()}]"
+            at = max(at, end)
+        texts[r.doc_id] = text + r.pii_text[at:]
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in texts.items()}
+    sources = sorted({r.source for r in kept.values()})
+    total = {s: sum(size[i] for i, r in kept.items() if r.source == s) for s in sources}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sources)}
+    target, open_ = {}, set(sources)
+    while True:
+        left = 1.5 * sum(total.values()) - sum(target.values())
+        level = left / sum(weight[s] for s in open_) if open_ else 0
+        over = {s for s in open_ if level * weight[s] > 2 * total[s]}
+        if not over:
+            break
+        target |= {s: 2 * total[s] for s in over}
+        open_ -= over
+    target |= {s: level * weight[s] for s in open_}
+    library = pieces.codec("piece_bpe_32k.model").library
+    out = Counter()
+    for r in corpus_pipeline.run(spark, SF).collect():
+        assert list(r.ids) == library.encode(texts[r.doc_id], add_bos=True, add_eos=True)
+        assert r.decoded == library.decode(list(r.ids)) and r.n_corrected == 0
+        out[r.doc_id] += 1
+    assert max(out.values()) <= 2
+    for s in sources:
+        taken = sum(n * size[i] for i, n in out.items() if kept[i].source == s)
+        assert abs(taken - target[s]) <= max(size[i] for i, r in kept.items() if r.source == s)
