@@ -576,3 +576,18 @@ def test_pipeline_equals_a_plain_one(spark, docs, labels):
     for s in sources:
         taken = sum(n * size[i] for i, n in out.items() if kept[i].source == s)
         assert abs(taken - target[s]) <= max(size[i] for i, r in kept.items() if r.source == s)
+
+
+# --- what is stored is removed when it is no longer wanted
+
+def test_release_removes_what_was_stored_and_written(spark):
+    from pathlib import Path
+
+    from creamline.llm.common import release, stored, written
+
+    kept = [stored(spark.range(5)), written(spark.range(6))]
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    assert [frame.count() for frame in kept] == [5, 6] and any(folder.iterdir())
+    release(spark)
+    assert not folder.exists()
+    assert stored(spark.range(7)).count() == 7 and written(spark.range(8)).count() == 8
