@@ -103,18 +103,22 @@ def mapped_results(
 ) -> DataFrame:
     """Results of the lines for known parameters that are mapped to the line's item.
 
-    The scan cuts the results to the lines. Then the pairs of line and parameter that count cut them in a
-    semi join, before anything of them is shuffled for a pivot. ``only`` drops other measures early; it may be given where a report keeps a row only if one of those measures is present, since
+    The scan cuts the results to the lines. They get their line's item, and the small table of items and
+    parameters cuts them again. They are then dealt by line, as the pivot and the join with what is shown
+    of the lines want them. A line given twice would repeat results, which no maximum or distinct count
+    shows. ``only`` drops other measures early; it may be given where a report keeps a row only if one of those measures is present, since
     the others then add nothing.
     """
     parameters = tables["test_parameter"]
     if only is not None:
         parameters = parameters.filter(text_in(F.col("test_parameter_name"), only))
     known = parameters.select(F.col("test_parameter_code").alias("commercial_parameter_code"))
-    pairs = mapped_pairs(tables).join(known, "commercial_parameter_code", "left_semi").distinct()
-    counted = lines.select("commercial_order_line_id", "commercial_item").join(pairs, "commercial_item")
+    pairs = mapped_pairs(tables).join(known, "commercial_parameter_code", "left_semi")
     results = near_lines(results_until(tables["reportable_result"], window), lines, rules.filter_bits)
-    return results.join(counted, ["commercial_order_line_id", "commercial_parameter_code"], "left_semi")
+    if only is not None:
+        results = results.join(known, "commercial_parameter_code", "left_semi")
+    results = results.join(lines.select("commercial_order_line_id", "commercial_item"), "commercial_order_line_id")
+    return results.join(pairs, ["commercial_item", "commercial_parameter_code"], "left_semi").drop("commercial_item")
 
 
 def sheet_rows(
