@@ -10,7 +10,7 @@ from datetime import date, datetime
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
@@ -81,11 +81,18 @@ def _closed():
     FROM rr GROUP BY param, name"""))
 def _(t):
     named = joins.name_parameters(t["reportable_result"], t["test_parameter"])
-    return named.groupBy("commercial_parameter_code", "test_parameter_name").agg(
-        F.count(F.lit(1)).alias("results"),
-        F.countDistinct("commercial_order_line_id").alias("lines"),
-        F.max("aggregated_value").alias("greatest_text"),
-        F.max("result_validation_date").alias("last"),
+    keys = ["commercial_parameter_code", "test_parameter_name"]
+    # by value first: a key of a hash aggregation, where the greatest text would have all results sorted
+    by_value = named.groupBy(*keys, "aggregated_value").agg(
+        F.count(F.lit(1)).alias("results"), F.max("result_validation_date").alias("last")
+    )
+    found = by_value.groupBy(*keys).agg(
+        F.sum("results").alias("results"), F.max("aggregated_value").alias("greatest_text"), F.max("last").alias("last")
+    )
+    lines = aggregates.lines_by_parameter(t["reportable_result"], t["test_parameter"])
+    same = reduce(Column.__and__, [F.col(f"f.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys])
+    return found.alias("f").join(lines.alias("l"), same, "left").select(
+        *[f"f.{k}" for k in keys], "results", F.coalesce("lines", F.lit(0)).alias("lines"), "greatest_text", "last"
     )
 
 

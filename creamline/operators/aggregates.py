@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from creamline.functions.numbers import rounded_mean
 from creamline.functions.text import has_text, text_in
+from creamline.operators.joins import name_parameters
 
 
 def _rest(frame: DataFrame, keys: Collection[str]) -> list[str]:
@@ -116,3 +117,33 @@ def count_tests(frame: DataFrame, key: str = "bar_code", label: str = "numOfTest
 def report_totals(frame: DataFrame, stamp: Column) -> DataFrame:
     """Row count and execution time printed under a report."""
     return frame.agg(F.count(F.lit(1)).alias("rows")).withColumn("executed_at", stamp)
+
+
+_WORD = 64
+
+
+def lines_by_parameter(results: DataFrame, test_parameter: DataFrame) -> DataFrame:
+    """How many different order lines have results, by parameter code and name; column ``lines``.
+
+    The named parameters are numbered, and a line's are bits of one number, so that a line is shuffled once and not
+    with each of its parameters. Unknown parameters are counted with their code as a key.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("test_parameter_code", "test_parameter_name"))).alias("entries")
+    numbered = test_parameter.agg(entries).select(F.posexplode("entries").alias("at", "entry")).select("at", "entry.*")
+    word, bit = F.floor(F.col("at") / _WORD), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at") % _WORD)
+    named = name_parameters(results, numbered)
+    by_line = named.filter(F.col("commercial_order_line_id").isNotNull()).groupBy(
+        "commercial_order_line_id", word.alias("word"), F.when(F.col("at").isNull(), F.col("commercial_parameter_code")).alias("unknown"),
+    ).agg(F.bit_or(bit).alias("bits"))
+    ones = [F.sum(F.shiftrightunsigned("bits", k).bitwiseAND(F.lit(1).cast("bigint"))) for k in range(_WORD)]
+    counted = by_line.groupBy("word", "unknown").agg(F.array(*ones).alias("ones"), F.count(F.lit(1)).alias("rows"))
+    known = counted.filter(F.col("word").isNotNull()).select("word", F.posexplode("ones").alias("k", "lines")).select(
+        (F.col("word") * _WORD + F.col("k")).cast("int").alias("at"), "lines"
+    )
+    others = counted.filter(F.col("word").isNull()).select(
+        F.col("unknown").alias("commercial_parameter_code"), F.lit(None).cast("string").alias("test_parameter_name"),
+        F.col("rows").alias("lines"),
+    )
+    names = numbered.withColumnRenamed("test_parameter_code", "commercial_parameter_code")
+    found = known.filter("lines > 0").join(names, "at").groupBy("commercial_parameter_code", "test_parameter_name")
+    return found.agg(F.max("lines").alias("lines")).unionAll(others)
