@@ -2,8 +2,52 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from creamline.catalog import QUERIES
-from creamline.operators import aggregates
+from creamline.functions.text import is_short, number_text, text_number
+from creamline.operators import aggregates, pivots
+
+SF = "/root/testdata/sf0.001"
+TEXTS = ["", "0", "99", "100", "1250", ">3000", "NF", "1234567", "12345678", "a\0", "a", "a\0b", "é", "zé", "zzzzzé", "zzzzzzé", "\x7f", "\U0001f95b"]
+
+
+def test_short_texts_as_numbers_sort_like_texts(spark):
+    frame = spark.createDataFrame([(t,) for t in [*TEXTS, None]], "t string")
+    rows = frame.select("t", text_number(F.col("t")).alias("n"), is_short(F.col("t")).alias("short")).withColumn("back", number_text(F.col("n"))).collect()
+    short = [r for r in rows if r.short]
+    assert {r.t for r in short} == {t for t in TEXTS if len(t.encode()) <= 7 and t[:1] < "\x80"}
+    assert all(r.back == r.t for r in short) and all(r.n is None for r in rows if not r.short)
+    assert [r.t for r in sorted(short, key=lambda r: r.n)] == sorted((r.t for r in short), key=str.encode)
+
+
+@pytest.mark.parametrize("merged", [True, False])
+def test_pivot_of_short_and_long_texts(spark, merged):
+    rows = [(i % 5, label, text) for i, text in enumerate(TEXTS * 3) for label in ("Fat", "fat ", "Lactose", "Other")]
+    rows += [(7, "Fat", None), (8, "Other", "x"), (None, "Fat", "longer than seven"), (None, "Fat", "zz"), (None, "Lactose", "9")]
+    frame = spark.createDataFrame(rows, "line int, test_parameter_name string, aggregated_value string")
+    wide = pivots.pivot_results(frame, ["Fat", "Lactose"], merged=merged)
+    assert wide.columns == ["line", "Fat", "Lactose"]
+    found = wide.collect()
+    assert not merged or len(found) == 8
+    expected = {}
+    for line, label, text in rows:
+        own = expected.setdefault(line, {"Fat": None, "Lactose": None})
+        name = label.rstrip().capitalize()
+        if name in own and text is not None and (own[name] is None or text.encode() > own[name].encode()):
+            own[name] = text
+    got = {(r.line, r.Fat, r.Lactose) for r in pivots.merge_pivoted(wide, ["Fat", "Lactose"]).collect()}
+    assert got == {(line, own["Fat"], own["Lactose"]) for line, own in expected.items()}
+
+
+@pytest.mark.parametrize("name", ["threshold_alert", "official_report_raw", "official_sheet", "collapse_by_key", "stored_inspector_report"])
+def test_results_are_not_sorted_before_they_are_pivoted(spark, name):
+    frame = QUERIES[name](spark, SF)
+    frame.collect()
+    lines = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+    pivoted = [line for line in lines if re.search(r"Aggregate.*partial_max\(CASE WHEN \(_label", line)]
+    assert pivoted and all("HashAggregate" in line and "ObjectHash" not in line for line in pivoted)
 
 
 def test_lines_by_parameter(spark):
@@ -21,6 +65,6 @@ def test_lines_by_parameter(spark):
 
 
 def test_results_scan_deals_no_line_with_each_of_its_parameters(spark):
-    plan = QUERIES["results_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["results_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
     assert not [keys for keys in dealt if "commercial_order_line_id" in keys and "test_parameter_name" in keys]
