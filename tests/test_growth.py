@@ -68,3 +68,10 @@ def test_results_scan_deals_no_line_with_each_of_its_parameters(spark):
     plan = QUERIES["results_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
     assert not [keys for keys in dealt if "commercial_order_line_id" in keys and "test_parameter_name" in keys]
+
+
+def test_halves_of_the_official_report_read_the_pivot_where_it_is_kept(spark):
+    frame = QUERIES["official_report_complete"](spark, SF)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    kept = re.findall(r"InMemoryRelation \[is_official#\d+, result_validation_date", plan)
+    assert len(kept) == 2
