@@ -73,6 +73,12 @@ def _closed():
     return dates.between_dates(FIRST, LAST)
 
 
+def _same_keys(found: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join as f and l on keys that may be null."""
+    same = reduce(Column.__and__, [F.col(f"f.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys])
+    return found.alias("f").join(others.alias("l"), same, "left")
+
+
 # --- sources -------------------------------------------------------------------------------------
 
 @query("results_scan", lab("""
@@ -90,8 +96,7 @@ def _(t):
         F.sum("results").alias("results"), F.max("aggregated_value").alias("greatest_text"), F.max("last").alias("last")
     )
     lines = aggregates.lines_by_parameter(t["reportable_result"], t["test_parameter"])
-    same = reduce(Column.__and__, [F.col(f"f.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys])
-    return found.alias("f").join(lines.alias("l"), same, "left").select(
+    return _same_keys(found, lines, keys).select(
         *[f"f.{k}" for k in keys], "results", F.coalesce("lines", F.lit(0)).alias("lines"), "greatest_text", "last"
     )
 
@@ -239,13 +244,15 @@ def _(t):
       count(DISTINCT bar_code) AS samples, max(value) AS greatest_text
     FROM rr JOIN ctx USING (line_id) GROUP BY client_name, region, name"""))
 def _(t):
-    rows = joins.name_parameters(
-        joins.enrich_results(t["reportable_result"], _lines(t)), t["test_parameter"]
+    lines, keys = _lines(t), ["client_name", "region"]
+    rows = joins.enrich_results(t["reportable_result"], lines)
+    by_code = aggregates.results_by_code(rows, [*keys, "commercial_parameter_code"])
+    found = joins.name_parameters(by_code, t["test_parameter"]).groupBy(*keys, "test_parameter_name").agg(
+        F.sum("results").alias("results"), F.max("greatest_text").alias("greatest_text")
     )
-    return rows.groupBy("client_name", "region", "test_parameter_name").agg(
-        F.count(F.lit(1)).alias("results"),
-        F.countDistinct("bar_code").alias("samples"),
-        F.max("aggregated_value").alias("greatest_text"),
+    samples = aggregates.samples_by_name(t["reportable_result"], lines, t["test_parameter"], keys)
+    return _same_keys(found, samples, [*keys, "test_parameter_name"]).select(
+        *[f"f.{k}" for k in [*keys, "test_parameter_name"]], "results", F.coalesce("samples", F.lit(0)).alias("samples"), "greatest_text"
     )
 
 

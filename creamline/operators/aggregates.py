@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creamline.functions.numbers import rounded_mean
-from creamline.functions.text import has_text, text_in
-from creamline.operators.joins import name_parameters
+from creamline.functions.text import has_text, is_short, number_text, text_in, text_number
+from creamline.operators.joins import enrich_results, name_parameters
 
 
 def _rest(frame: DataFrame, keys: Collection[str]) -> list[str]:
@@ -147,3 +147,37 @@ def lines_by_parameter(results: DataFrame, test_parameter: DataFrame) -> DataFra
     names = numbered.withColumnRenamed("test_parameter_code", "commercial_parameter_code")
     found = known.filter("lines > 0").join(names, "at").groupBy("commercial_parameter_code", "test_parameter_name")
     return found.agg(F.max("lines").alias("lines")).unionAll(others)
+
+
+def results_by_code(rows: DataFrame, keys: Sequence[str], value: str = "aggregated_value") -> DataFrame:
+    """Count (``results``) and ``greatest_text`` by ``keys``, one row per key and long text, for a sum and maximum later.
+
+    Short texts are compared as numbers and a longer one is a key, so that no row is sorted for its text.
+    """
+    long_text = F.when(~is_short(F.col(value)), F.col(value))
+    counted = rows.groupBy(*keys, long_text.alias("_long")).agg(
+        F.count(F.lit(1)).alias("results"), F.max(text_number(F.col(value))).alias("_number")
+    )
+    greatest = F.coalesce(number_text(F.col("_number")), F.col("_long")).alias("greatest_text")
+    return counted.select(*keys, "results", greatest)
+
+
+def samples_by_name(results: DataFrame, lines: DataFrame, test_parameter: DataFrame, keys: Sequence[str], unit: str = "bar_code") -> DataFrame:
+    """How many different ``unit`` values have results, by ``keys`` of their lines and parameter name; column ``samples``.
+
+    The names are numbered, and those of a line are bits of one number, so that a line meets what is known of it, and
+    is shuffled, once and not with each of its results. Unknown and unnamed parameters together have a word of their own.
+    """
+    names = F.array_sort(F.collect_set("test_parameter_name")).alias("names")
+    numbers = test_parameter.agg(names).select(F.posexplode("names").alias("at", "test_parameter_name"))
+    named = name_parameters(results, test_parameter.join(numbers, "test_parameter_name", "left").select("test_parameter_code", "at"))
+    one = F.lit(1).cast("bigint")
+    word = F.coalesce(F.floor(F.col("at") / _WORD).cast("int"), F.lit(-1))
+    bit = F.coalesce(F.call_function("shiftleft", one, F.col("at") % _WORD), one)
+    by_line = named.groupBy("commercial_order_line_id", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    by_unit = enrich_results(by_line, lines).filter(F.col(unit).isNotNull()).groupBy(*keys, unit, "word").agg(F.bit_or("bits").alias("bits"))
+    ones = [F.sum(F.shiftrightunsigned("bits", k).bitwiseAND(one)) for k in range(_WORD)]
+    counted = by_unit.groupBy(*keys, "word").agg(F.array(*ones).alias("ones"))
+    each = counted.select(*keys, "word", F.posexplode("ones").alias("k", "samples")).filter("samples > 0")
+    numbered = each.select(*keys, (F.col("word") * _WORD + F.col("k")).alias("at"), "samples")
+    return numbered.join(numbers, "at", "left").select(*keys, "test_parameter_name", "samples")

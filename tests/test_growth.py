@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creamline.catalog import QUERIES
 from creamline.functions.text import is_short, number_text, text_number
-from creamline.operators import aggregates, pivots
+from creamline.operators import aggregates, joins, pivots
 
 SF = "/root/testdata/sf0.001"
 TEXTS = ["", "0", "99", "100", "1250", ">3000", "NF", "1234567", "12345678", "a\0", "a", "a\0b", "é", "zé", "zzzzzé", "zzzzzzé", "\x7f", "\U0001f95b"]
@@ -70,6 +70,39 @@ def test_results_scan_deals_no_line_with_each_of_its_parameters(spark):
     assert not [keys for keys in dealt if "commercial_order_line_id" in keys and "test_parameter_name" in keys]
 
 
+def test_samples_and_results_by_name(spark):
+    known = [(f"P{n:03}", f"name {n % 90}") for n in range(100)] + [("P003", "second name"), ("Q", None), (None, "none")]
+    lines = [(line, "ab"[line % 2], None if line % 5 == 0 else f"R{line % 3}", None if line % 7 == 0 else f"B{line // 3}") for line in range(60)]
+    rows = [(line, f"P{(line * 7 + k) % 120:03}", TEXTS[(line + k) % len(TEXTS)]) for line in range(65) for k in range(30)] * 2
+    rows += [(None, "P001", "x"), (1, None, "x"), (2, None, None), (3, "Q", "zzzzzzzzz"), (4, "Q", None), (7, "unmeasured elsewhere", "1")]
+    results = spark.createDataFrame(rows, "commercial_order_line_id long, commercial_parameter_code string, aggregated_value string")
+    names = spark.createDataFrame(known, "test_parameter_code string, test_parameter_name string")
+    shown = spark.createDataFrame(lines, "commercial_order_line_id long, client_name string, region string, bar_code string")
+    keys = ["client_name", "region"]
+    by_code = aggregates.results_by_code(joins.enrich_results(results, shown), [*keys, "commercial_parameter_code"])
+    named = joins.name_parameters(by_code, names).groupBy(*keys, "test_parameter_name").agg({"results": "sum", "greatest_text": "max"})
+    samples = {tuple(r)[:3]: r.samples for r in aggregates.samples_by_name(results, shown, names, keys).collect()}
+    found = {tuple(r)[:3]: (r["sum(results)"], samples.pop(tuple(r)[:3], 0), r["max(greatest_text)"]) for r in named.collect()}
+    expected = {}
+    own = {line: rest for line, *rest in lines}
+    for line, code, text in rows:
+        for name in [n for c, n in known if c == code and c is not None] or [None]:
+            if line in own:
+                *key, bar_code = own[line]
+                expected.setdefault((*key, name), []).append((bar_code, text))
+    assert not samples and found == {
+        key: (len(own), len({b for b, _ in own if b is not None}), max((t for _, t in own if t is not None), key=str.encode, default=None))
+        for key, own in expected.items()
+    }
+
+
+def test_enriched_results_deals_no_sample_with_each_of_its_parameters(spark):
+    plan = QUERIES["enriched_results"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert dealt and not [keys for keys in dealt if "bar_code" in keys and ("test_parameter_name" in keys or "parameter_code" in keys)]
+    assert not re.findall(r"SortAggregate\([^\n]*max\(aggregated_value", plan)
+
+
 def test_halves_of_the_official_report_read_the_pivot_where_it_is_kept(spark):
     frame = QUERIES["official_report_complete"](spark, SF)
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
