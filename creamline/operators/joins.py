@@ -104,12 +104,22 @@ def fill_from_lookup(
     return frame.join(single, key, "left").select(columns)
 
 
+def lines_of_samples(tables: Tables, bar_codes: DataFrame | None = None) -> DataFrame:
+    """(commercial_order_line_id, bar_code) of every order line; ``bar_codes`` limits them to samples with these."""
+    samples = tables["sample"].select(F.col("id").alias("sample_id"), "bar_code")
+    if bar_codes is not None:
+        samples = samples.join(bar_codes, "bar_code", "left_semi")
+    lines = tables["commercial_order_line"].select(F.col("id").alias("commercial_order_line_id"), "sample_id")
+    return lines.join(samples, "sample_id").drop("sample_id")
+
+
 def technicians(
-    tables: Tables, parameter: str, bar_codes: DataFrame | None = None, bits: int = BITS
+    tables: Tables, parameter: str, lines: DataFrame | None = None, bits: int = BITS
 ) -> DataFrame:
     """Bar codes with the operators who measured ``parameter`` on any of their order lines.
 
-    ``bar_codes`` (one column ``bar_code``) limits the work to samples that will be looked up.
+    ``lines`` (``commercial_order_line_id``, ``bar_code``) limits the work to all lines of samples that will be
+    looked up. It is read twice, for the cut of the results and for the join.
     """
     known = tables["test_parameter"].filter(F.col("test_parameter_code") == parameter)
     measured = (
@@ -122,13 +132,7 @@ def technicians(
         )
         .select("commercial_order_line_id", F.col("result_set_sequence_no").alias("sequence_number"))
     )
-    samples = tables["sample"].select(F.col("id").alias("sample_id"), "bar_code")
-    if bar_codes is not None:
-        samples = samples.join(bar_codes, "bar_code", "left_semi")
-    lines = tables["commercial_order_line"].select(
-        F.col("id").alias("commercial_order_line_id"), "sample_id"
-    )
-    wanted = lines.join(samples, "sample_id")
+    wanted = lines_of_samples(tables) if lines is None else lines
     return (
         near_lines(measured, wanted, bits)
         .join(wanted, "commercial_order_line_id")

@@ -28,6 +28,7 @@ from creamline.plans.steps import (
     measured_lines,
     report_lines,
     results_until,
+    shared_rows,
     with_technician,
 )
 
@@ -40,14 +41,18 @@ def _lines(tables: Tables, days: float, now: datetime | None, rules: LabRules):
     return window, require_columns(finished_lines(tables, window, rules), IDENTIFIED)
 
 
+def legacy_samples(lines: DataFrame, lab_copy: bool, rules: LabRules = DEFAULT_RULES) -> DataFrame:
+    """What the report shows of its lines, computed once for the pivot and the technicians."""
+    unused = ["billing_week", "order_line_status", "btu_number", *([] if lab_copy else ["region"])]
+    samples = sample_columns(lines, "state").withColumn("seq", seq_middle(F.col("bar_code")))
+    return report_lines(samples.drop(*unused), rules)
+
+
 def legacy_pivot(
-    tables: Tables, window, lines: DataFrame, lab_copy: bool, rules: LabRules = DEFAULT_RULES
+    tables: Tables, window, samples: DataFrame, lab_copy: bool, rules: LabRules = DEFAULT_RULES
 ) -> DataFrame:
     labels = OFFICIAL_MEASURES if lab_copy else LEGACY_MEASURES
     results = results_until(tables["reportable_result"], window)
-    unused = ["billing_week", "order_line_status", "btu_number", *([] if lab_copy else ["region"])]
-    samples = sample_columns(lines, "state").withColumn("seq", seq_middle(F.col("bar_code")))
-    samples = report_lines(samples.drop(*unused), rules)
     measured = measured_lines(tables, results, samples, labels, RED_TAG_TESTS, {}, rules)
     rows = enrich_results(measured, samples)
     return merge_pivoted(rows.drop("commercial_order_line_id"), labels)
@@ -73,7 +78,9 @@ def legacy_official(
         lines = slice_by(lines, slice_kind, slice_value, tables)
     elif slice_kind and slice_kind.lower() in ("field rep", "state rep"):
         lines = optional_filters(lines, **{slice_kind.lower().replace(" ", "_"): slice_value})
-    pivoted = legacy_pivot(tables, window, lines, lab_copy, rules)
+    samples = legacy_samples(lines, lab_copy, rules)
+    # the means, the lists of tanks and the other rows read it
+    pivoted = shared_rows(legacy_pivot(tables, window, samples, lab_copy, rules), rules)
     averaged_by = "region" if lab_copy else "state"
     usable = require_columns(pivoted, _COMPLETE, filled=["seq"]).filter(
         F.col("is_official") == "Y"
@@ -87,7 +94,7 @@ def legacy_official(
     others = usable.filter(~inside)
     rows = means.select(others.columns).unionByName(others)
     if lab_copy:
-        rows = with_technician(rows, tables, rules, lines.select("bar_code").distinct())
+        rows = with_technician(rows, tables, rules, samples.select("bar_code").distinct())
     report = present(rows, _titles(lab_copy))
     if lab_copy:
         return report.orderBy("Client Name", "ProducerCode", "SamplingTime", "Tank")

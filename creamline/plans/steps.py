@@ -17,6 +17,7 @@ from creamline.operators.joins import (
     enrich_lines,
     enrich_results,
     fill_from_lookup,
+    lines_of_samples,
     mapped_pairs,
     near_lines,
     technicians,
@@ -166,18 +167,12 @@ def kept_technicians(measured: DataFrame, lines: DataFrame, tables: Tables, rule
     )
 
 
-def lines_of_bar_codes(tables: Tables, bar_codes: DataFrame) -> DataFrame:
-    """(commercial_order_line_id, bar_code) of every order line of samples with these bar codes."""
-    samples = tables["sample"].select(F.col("id").alias("sample_id"), "bar_code")
-    lines = tables["commercial_order_line"].select(F.col("id").alias("commercial_order_line_id"), "sample_id")
-    return lines.join(samples.join(bar_codes, "bar_code", "left_semi"), "sample_id").drop("sample_id")
-
-
 def with_technician(
     frame: DataFrame, tables: Tables, rules: LabRules, bar_codes: DataFrame
 ) -> DataFrame:
     """Adds ``lab_tech``, the operator of the bar code's technician test."""
-    lookup = technicians(tables, rules.technician_parameter, bar_codes, rules.filter_bits)
+    lines = report_lines(lines_of_samples(tables, bar_codes), rules)
+    lookup = technicians(tables, rules.technician_parameter, lines, rules.filter_bits)
     return fill_from_lookup(
         with_text_null(frame, "lab_tech"), lookup, "bar_code", "operator_code", "lab_tech"
     )
