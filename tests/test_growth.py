@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creamline.catalog import QUERIES
 from creamline.functions.text import is_short, number_text, text_number
-from creamline.operators import aggregates, joins, pivots
+from creamline.operators import aggregates, joins, pivots, runtime_filter
 
 SF = "/root/testdata/sf0.001"
 TEXTS = ["", "0", "99", "100", "1250", ">3000", "NF", "1234567", "12345678", "a\0", "a", "a\0b", "é", "zé", "zzzzzé", "zzzzzzé", "\x7f", "\U0001f95b"]
@@ -108,3 +108,14 @@ def test_halves_of_the_official_report_read_the_pivot_where_it_is_kept(spark):
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     kept = re.findall(r"InMemoryRelation \[is_official#\d+, result_validation_date", plan)
     assert len(kept) == 2
+
+
+def test_filter_grows_with_its_keys(spark):
+    keys = spark.range(0, 40_000, 2)
+    few = runtime_filter.key_bits(keys.filter("id < 100"), ["id"], 1 << 12, grows=True).first().words
+    many = runtime_filter.key_bits(keys, ["id"], 1 << 12, grows=True).first().words
+    assert len(few) == (1 << 12) // 64 and len(many) >= 20_000 * runtime_filter.BITS_A_KEY // 64
+    others = spark.range(1, 40_000, 2)
+    wanted = runtime_filter.may_be_wanted(keys, ["id"], 1 << 12, grows=True)
+    assert keys.filter(wanted).count() == 20_000 and others.filter(wanted).count() < 2_000
+    assert others.filter(runtime_filter.may_be_wanted(keys.limit(0), ["id"], 1 << 12, grows=True)).count() == 0
