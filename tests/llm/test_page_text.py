@@ -105,3 +105,61 @@ def test_given_pages_give_their_articles(spark):
         want[r.page_id] = "\n\n".join(b for b in blocks if b)
     got = {r.page_id: r.text for r in page_text.op13_html_extraction(spark, SF).collect()}
     assert got == want
+
+
+def boxed_pages(n=12):
+    """Articles of two hosts with an unmarked note in a box of their own, the same on all of a host, and a copied article."""
+    out, want = [], {}
+    for i in range(n):
+        host = ["big.example", "small.example"][i % 2]
+        note, body = words(len(host), 14), [words(2000 + 4 * i + k, 20) for k in range(3)]
+        flow = [f"<p>{b}</p>" for b in body]
+        flow.insert(i % 4, f"<div class='x7'><p>{note}</p></div>")
+        if i % 3 == 0:  # a line that many articles hold beside the note
+            flow.insert(i % 4 + 1, f"<p>{words(5, 9)}")
+            body.insert(i % 4, words(5, 9))
+        out.append((i, f"http://{host}/{i}", f"<nav>{words(9, 12)}</nav><article><h1>Title {i}</h1>{''.join(flow)}</article><footer>{words(i, 9)}</footer>"))
+        want[i] = "\n\n".join([f"Title {i}", *body])
+    lead, rest, box = words(60, 12), words(61, 30), words(62, 12)
+    for k in range(2):  # one article at two addresses, an own ending each; a sidebar shows its lead
+        page = f"<article><h1>Copied</h1><div class='lead'>{lead}</div><p>{rest}</p><p>{words(70 + k, 9)}</p><div class='own'>{box}</div><p>{rest}</p></article>"
+        out.append((n + k, f"http://big.example/copy/{k}", page))
+        want[n + k] = "\n\n".join(["Copied", lead, rest, words(70 + k, 9), box, rest])
+    out.append((n + 2, "http://big.example/side", f"<article><p>{words(80, 20)}</p></article><aside>{lead}</aside>"))
+    want[n + 2] = words(80, 20)
+    return out, want
+
+
+def test_repeats_of_a_host_leave_unmarked_boxes_of_its_articles(spark):
+    pages, want = boxed_pages()
+    got = {r.page_id: r.text for r in page_text.texts(spark.createDataFrame(pages, PAGE)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+@pytest.mark.parametrize("others", [0, 1])
+def test_a_repeat_needs_other_words_on_both_sides(spark, parts, others):
+    rows = spark.range(9000 + others).selectExpr(
+        "'h' AS host", "CAST('g' AS BINARY) AS gram", "id AS page", "0 AS at", "true AS open", "CAST(id >= 9000 AS LONG) AS left", "id AS right"
+    )
+    few = rows.filter("page < 2 OR page >= 9000").withColumn("gram", rows.gram.substr(1, 0))
+    both = rows.unionAll(few).repartitionByRange(parts, "host", "gram", "page").sortWithinPartitions("host", "gram", "page", "at")
+    assert page_text.repeated(both).count() == 9001 * others
+
+
+@pytest.mark.parametrize(("page", "marks"), [
+    ("<article><p>a b c<div>d</div></article>", [page_text.ARTICLE, page_text.BOX]),
+    ("<article><h1>t</h1><div class='body'><p>a b<div class='body'>c</div></div><div>d</div></article>", [page_text.ARTICLE] * 2 + [page_text.BOX] * 2),
+    ("<article><div>a</div><div>b</div><div class='x'>c</div><div>d</div></article>", [page_text.ARTICLE] * 2 + [page_text.BOX, page_text.ARTICLE]),
+    ("<article><p>a<div class='ad'>b</div><blockquote>c</blockquote></article><div>d</div>", [page_text.ARTICLE, page_text.MARKED, page_text.ARTICLE, page_text.OPEN]),
+    ("<article><p>a</p><div>b c</div><section>d</section></article>", [page_text.ARTICLE, page_text.BOX, page_text.BOX]),
+    ("<div><article><section>a<article>b b</article>", [page_text.BOX, page_text.ARTICLE]),
+])
+def test_marks_of_flow_and_boxes(page, marks):
+    assert [mark for _, mark in blocks_of(page)] == marks
+
+
+def test_boxes_without_words_are_kept():
+    page = blocks_of("<article>*** --- ***<div>+</div></article>")
+    assert page_text._streams("h", page)[1] == {"host": "h/article", "stream": b"", "runs": [], "open": True}
+    assert main_text(page) == "*** --- ***\n\n+"
