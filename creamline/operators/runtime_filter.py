@@ -13,38 +13,54 @@ from pyspark.sql import functions as F
 
 #: Least bits of a filter: half a megabyte, good for some 300,000 keys (one other key in fifty passes).
 BITS = 1 << 22
-#: A filter for more keys has this many bits for each, up to 32 megabytes.
-BITS_A_KEY, MOST_BITS = 14, 1 << 28
+#: A filter for more keys has this many bits for each, up to 8 megabytes: the array passes through the driver and goes
+#: out with the tasks of the scan, several copies of it at a time. Beyond that it lets more through.
+BITS_A_KEY, MOST_BITS = 14, 1 << 26
+#: With fewer bits a key than this, a key sets one bit instead of three, which then lets less through.
+_SPARSE = 2.5
 _WORD = 64
+#: Words gathered at a time, so that no task holds a row for every word of a large filter.
+_CHUNK = 1 << 12
 
 
-def _place(keys: list[Column], words: Column) -> tuple[Column, Column]:
-    """The word of a key, and the three bits that it sets there."""
+def _place(keys: list[Column], size: Column) -> tuple[Column, Column]:
+    """The word of a key, and the bits that it sets there."""
     digest = F.xxhash64(*keys)
-    word = F.shiftrightunsigned(digest, 32) % words
+    word = F.shiftrightunsigned(digest, 32) % size["words"]
     one = F.lit(1).cast("bigint")
-    mask = None
-    for shift in (0, 6, 12):
-        at = F.shiftright(digest, shift).bitwiseAND(F.lit(_WORD - 1)).cast("int")
-        bit = F.call_function("shiftleft", one, at)
-        mask = bit if mask is None else mask.bitwiseOR(bit)
-    return word, mask
+    first, second, third = (
+        F.call_function("shiftleft", one, F.shiftright(digest, shift).bitwiseAND(F.lit(_WORD - 1)).cast("int"))
+        for shift in (0, 6, 12)
+    )
+    return word, F.when(size["crowded"], first).otherwise(first.bitwiseOR(second).bitwiseOR(third))
+
+
+def _size(wanted: DataFrame, bits: int, grows: bool) -> DataFrame:
+    """One row with the number of words, and whether their keys are too many to set three bits each."""
+    keys, least = F.count(F.lit(1)), F.lit(bits // _WORD)
+    needed = F.least(F.ceil(keys * BITS_A_KEY / _WORD), F.lit(MOST_BITS // _WORD)) if grows else least
+    words = F.greatest(needed, least).cast("bigint")
+    return wanted.agg(F.struct(words.alias("words"), (keys * _SPARSE > words * _WORD).alias("crowded")).alias("size"))
 
 
 def key_bits(wanted: DataFrame, columns: list[str], bits: int = BITS, grows: bool = False) -> DataFrame:
     """One row with the array of words: of ``bits``, or where it ``grows`` of more for many keys."""
-    needed = F.least(F.ceil(F.count(F.lit(1)) * BITS_A_KEY / _WORD), F.lit(MOST_BITS // _WORD)) if grows else F.max(F.lit(0))
-    size = wanted.agg(F.greatest(needed, F.lit(bits // _WORD)).cast("bigint").alias("size"))
+    size = _size(wanted, bits, grows)
     word, mask = _place([F.col(c) for c in columns], size.scalar())
     own = wanted.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    none = size.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1)).alias("word"), F.lit(0).cast("bigint").alias("mask"))
+    none = size.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size.words") - 1)).alias("word"), F.lit(0).cast("bigint").alias("mask"))
     words = own.unionAll(none).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    rows = words.agg(F.array_sort(F.collect_list(F.struct("word", "mask"))).alias("rows"))
-    return rows.select(F.col("rows.mask").alias("words"))
+    chunk = F.floor(F.col("word") / _CHUNK).alias("chunk")
+    chunks = words.groupBy(chunk).agg(F.array_sort(F.collect_list(F.struct("word", "mask")))["mask"].alias("masks"))
+    rows = chunks.agg(F.array_sort(F.collect_list(F.struct("chunk", "masks"))).alias("rows"))
+    return rows.select(F.flatten("rows.masks").alias("words"))
 
 
 def may_be_wanted(wanted: DataFrame, columns: list[str], bits: int = BITS, grows: bool = False) -> Column:
-    """Whether a row's columns may be among the wanted keys. Null keys are not."""
+    """Whether a row's columns may be among the wanted keys. Null keys are not.
+
+    The array stands in the test once, since each place of it is a copy in every task; its size is a subquery of its own.
+    """
+    word, mask = _place([F.col(c) for c in columns], _size(wanted, bits, grows).scalar())
     words = key_bits(wanted, columns, bits, grows).scalar()
-    word, mask = _place([F.col(c) for c in columns], F.size(words))
     return F.get(words, word.cast("int")).bitwiseAND(mask) == mask

@@ -119,3 +119,22 @@ def test_filter_grows_with_its_keys(spark):
     wanted = runtime_filter.may_be_wanted(keys, ["id"], 1 << 12, grows=True)
     assert keys.filter(wanted).count() == 20_000 and others.filter(wanted).count() < 2_000
     assert others.filter(runtime_filter.may_be_wanted(keys.limit(0), ["id"], 1 << 12, grows=True)).count() == 0
+
+
+def test_filter_of_very_many_keys_stays_small(spark, monkeypatch):
+    monkeypatch.setattr(runtime_filter, "_CHUNK", 64)
+    keys, most = spark.range(0, 200_000, 2), 1 << 17
+    assert runtime_filter.MOST_BITS <= 1 << 26  # through the driver and to every task of a scan
+    monkeypatch.setattr(runtime_filter, "MOST_BITS", most)  # 1.3 bits a key
+    crowded = runtime_filter.key_bits(keys, ["id"], 1 << 12, grows=True).first().words
+    assert len(crowded) == most // 64 and sum(bin(w & (1 << 64) - 1).count("1") for w in crowded) < 0.6 * most
+    wanted = runtime_filter.may_be_wanted(keys, ["id"], 1 << 12, grows=True)
+    others = spark.range(1, 200_000, 2)
+    assert keys.filter(wanted).count() == 100_000 and others.filter(wanted).count() < 60_000
+    test = others.filter(wanted)._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+    assert test.startswith("Filter") and len(re.findall(r"scalar-subquery#\d+ \[\](?!\.)", test)) == 1
+
+
+def test_halves_of_average_or_collapse_read_the_pivot_where_it_is_kept(spark):
+    plan = QUERIES["average_or_collapse"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"InMemoryRelation \[is_official#\d+, result_validation_date", plan)) == 2
