@@ -13,47 +13,63 @@ from pyspark.sql import functions as F
 
 #: Least bits of a filter: half a megabyte, good for some 300,000 keys (one other key in fifty passes).
 BITS = 1 << 22
-#: A filter for more keys has this many bits for each, up to 8 megabytes: the array passes through the driver and goes
-#: out with the tasks of the scan, several copies of it at a time. Beyond that it lets more through.
+#: A filter for more keys has this many bits for each at least, up to 8 megabytes: the array passes through the driver
+#: and goes out with the tasks of the scan. Beyond that it lets more through.
 BITS_A_KEY, MOST_BITS = 14, 1 << 26
-#: With fewer bits a key than this, a key sets one bit instead of three, which then lets less through.
-_SPARSE = 2.5
 _WORD = 64
 #: Words gathered at a time, so that no task holds a row for every word of a large filter.
 _CHUNK = 1 << 12
 
 
-def _place(keys: list[Column], size: Column) -> tuple[Column, Column]:
-    """The word of a key, and the bits that it sets there."""
+def _place(keys: list[Column], words: Column) -> tuple[Column, Column]:
+    """The word of a key, and the two bits that it sets there."""
     digest = F.xxhash64(*keys)
-    word = F.shiftrightunsigned(digest, 32) % size["words"]
     one = F.lit(1).cast("bigint")
-    first, second, third = (
+    first, second = (
         F.call_function("shiftleft", one, F.shiftright(digest, shift).bitwiseAND(F.lit(_WORD - 1)).cast("int"))
-        for shift in (0, 6, 12)
+        for shift in (0, 6)
     )
-    return word, F.when(size["crowded"], first).otherwise(first.bitwiseOR(second).bitwiseOR(third))
+    return F.shiftrightunsigned(digest, 32) % words, first.bitwiseOR(second)
 
 
-def _size(wanted: DataFrame, bits: int, grows: bool) -> DataFrame:
-    """One row with the number of words, and whether their keys are too many to set three bits each."""
-    keys, least = F.count(F.lit(1)), F.lit(bits // _WORD)
-    needed = F.least(F.ceil(keys * BITS_A_KEY / _WORD), F.lit(MOST_BITS // _WORD)) if grows else least
-    words = F.greatest(needed, least).cast("bigint")
-    return wanted.agg(F.struct(words.alias("words"), (keys * _SPARSE > words * _WORD).alias("crowded")).alias("size"))
+def _gathered(masks: DataFrame) -> DataFrame:
+    """One row with the ``chunks`` of rows (word, mask), all in the order of their words."""
+    chunk = F.floor(F.col("word") / _CHUNK).alias("chunk")
+    rows = masks.groupBy(chunk).agg(F.array_sort(F.collect_list(F.struct("word", "mask"))).alias("rows"))
+    return rows.agg(F.array_sort(F.collect_list(F.struct("chunk", "rows")))["rows"].alias("chunks"))
 
 
-def key_bits(wanted: DataFrame, columns: list[str], bits: int = BITS, grows: bool = False) -> DataFrame:
-    """One row with the array of words: of ``bits``, or where it ``grows`` of more for many keys."""
-    size = _size(wanted, bits, grows)
-    word, mask = _place([F.col(c) for c in columns], size.scalar())
+def _sized(wanted: DataFrame, columns: list[str], bits: int, grows: bool) -> DataFrame:
+    """One row: ``chunks`` of the words that the keys set in a filter of the largest size, and the ``size`` for them.
+
+    The keys are read once: how many words they set tells how many keys there are.
+    """
+    least, doubled = bits // _WORD, 0
+    while grows and least << doubled + 1 <= MOST_BITS // _WORD:
+        doubled += 1
+    most = least << doubled
+    word, mask = _place([F.col(c) for c in columns], F.lit(most))
     own = wanted.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    none = size.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size.words") - 1)).alias("word"), F.lit(0).cast("bigint").alias("mask"))
-    words = own.unionAll(none).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    chunk = F.floor(F.col("word") / _CHUNK).alias("chunk")
-    chunks = words.groupBy(chunk).agg(F.array_sort(F.collect_list(F.struct("word", "mask")))["mask"].alias("masks"))
-    rows = chunks.agg(F.array_sort(F.collect_list(F.struct("chunk", "masks"))).alias("rows"))
-    return rows.select(F.flatten("rows.masks").alias("words"))
+    filled = F.aggregate("chunks", F.lit(0), lambda n, rows: n + F.size(rows))
+    needed = F.log1p(-filled / most) * (-most * BITS_A_KEY / _WORD)  # unknown when all words are set
+    times = F.when(filled == 0, 0).otherwise(F.coalesce(F.ceil(F.log2(needed / least)), F.lit(doubled)))
+    times = F.least(F.lit(doubled), F.greatest(F.lit(0), times)).cast("int")
+    return _gathered(own).withColumn("size", F.call_function("shiftleft", F.lit(least).cast("bigint"), times))
+
+
+def key_bits(wanted: DataFrame, columns: list[str], bits: int = BITS, grows: bool = False) -> DataFrame:
+    """One row with the array of words: of ``bits``, or where it ``grows`` of twice as many as often as the keys need."""
+    size = F.col("size")
+    none = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.floor((size - 1) / _CHUNK)),
+        lambda chunk: F.transform(
+            F.sequence(chunk * _CHUNK, F.least(size, (chunk + 1) * _CHUNK) - 1),
+            lambda word: F.struct(word.alias("word"), F.lit(0).cast("bigint").alias("mask")),
+        ),
+    )
+    rows = _sized(wanted, columns, bits, grows).select("size", F.explode(F.concat("chunks", none)).alias("rows"))
+    words = rows.select("size", F.inline("rows")).groupBy((F.col("word") % size).alias("word")).agg(F.bit_or("mask").alias("mask"))
+    return _gathered(words).select(F.flatten(F.transform("chunks", lambda rows: rows["mask"])).alias("words"))
 
 
 def may_be_wanted(wanted: DataFrame, columns: list[str], bits: int = BITS, grows: bool = False) -> Column:
@@ -61,6 +77,5 @@ def may_be_wanted(wanted: DataFrame, columns: list[str], bits: int = BITS, grows
 
     The array stands in the test once, since each place of it is a copy in every task; its size is a subquery of its own.
     """
-    word, mask = _place([F.col(c) for c in columns], _size(wanted, bits, grows).scalar())
-    words = key_bits(wanted, columns, bits, grows).scalar()
-    return F.get(words, word.cast("int")).bitwiseAND(mask) == mask
+    word, mask = _place([F.col(c) for c in columns], _sized(wanted, columns, bits, grows).select("size").scalar())
+    return F.get(key_bits(wanted, columns, bits, grows).scalar(), word.cast("int")).bitwiseAND(mask) == mask
