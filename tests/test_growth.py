@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from creamline.catalog import QUERIES
 from creamline.functions.text import is_short, number_text, text_number
 from creamline.operators import aggregates, joins, pivots, runtime_filter
+from creamline.sources import retail
 
 SF = "/root/testdata/sf0.001"
 TEXTS = ["", "0", "99", "100", "1250", ">3000", "NF", "1234567", "12345678", "a\0", "a", "a\0b", "é", "zé", "zzzzzé", "zzzzzzé", "\x7f", "\U0001f95b"]
@@ -139,3 +140,21 @@ def test_filter_of_very_many_keys_stays_small(spark, monkeypatch):
 def test_halves_of_average_or_collapse_read_the_pivot_where_it_is_kept(spark):
     plan = QUERIES["average_or_collapse"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"InMemoryRelation \[is_official#\d+, result_validation_date", plan)) == 2
+
+
+def test_order_lines_travel_as_one_row_an_order(spark):
+    numbers = [1, 7, 7, 3, None, None, -2, -7]
+    rows = [(order, n) for order in (5, 6, None) for n in numbers[order or 0 :] + numbers[:3]]
+    lineitem = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int")
+    orders = spark.createDataFrame([(5, 1, "P"), (6, 2, "F"), (7, 1, "F"), (8, 9, "F")], "o_orderkey long, o_custkey long, o_orderstatus string")
+    customer = spark.createDataFrame([(1, 11), (2, 12)], "c_custkey long, c_nationkey int")
+    lines = retail._order_lines(lineitem, orders, customer)
+    pick = lambda n: None if n is None else retail.ITEMS[n - 1 if n > 0 else n]
+    expected = {
+        (None if n is None else order * 10 + n, order, order + 6, pick(n), "Pending" if order == 5 else "Completed")
+        for order, n in rows if order in (5, 6)
+    }
+    found = [tuple(r) if r.id is not None else (None, *r[1:3], None, r[4]) for r in lines.collect()]  # without a number, the item is undefined
+    assert set(found) == expected and len(found) == len(expected)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert not re.findall(r"Exchange hashpartitioning\([^\n]*l_linenumber#\d+, \d+\)", plan)
